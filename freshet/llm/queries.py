@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import quality_rules, url_filter
+from freshet.llm import minhash, quality_rules, url_filter
 
 #: The rules of op2: host, path, verdict.
 URL_RULES = [
@@ -28,9 +28,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op6_quality_rules": op6_quality_rules,
+    "op7_minhash": op7_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
