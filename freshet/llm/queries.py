@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import minhash, quality_rules, url_filter
+from freshet.llm import labelled, minhash, packing, quality_classifier, quality_rules, token_files, toxicity, url_filter
+from freshet.llm.storage import new_path
 
 #: The rules of op2: host, path, verdict.
 URL_RULES = [
@@ -19,11 +20,25 @@ URL_RULES = [
 ]
 
 
+def _marked(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("held_out", F.coalesce(labelled.remainder(F.col("doc_id"), 3) == 1, F.lit(False)))
+
+
+def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.train(docs, labels, fold=labelled.remainder(F.col("doc_id"), 3) != 1)
+    return _marked(quality_classifier.classify(docs, model)).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -32,10 +47,26 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_files.write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
+    return token_files.digest_tokens(spark, path)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels, fold=labelled.remainder(F.col("doc_id"), 3) != 1)
+    return _marked(toxicity.classify(docs, model)).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bradley_terry": op1_bradley_terry,
     "op2_url_filter": op2_url_filter,
+    "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash": op7_minhash,
+    "op8_token_files": op8_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
