@@ -1,7 +1,7 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two models, of toxic and of ordinary text, give each word a log-likelihood ratio. A word is generated from its first
-bytes: a 4-byte head, a 6-byte head given that, the word given that. Each step discounts continuation counts (distinct
+bytes: heads of 4, 6 and 8 bytes, each given the one before, and the word given the last. Each step discounts continuation counts (distinct
 preceding words, so that copies of a text count once) and gives the discounted mass to a backoff distribution that both
 classes share; a rare expression is thereby judged by its stem, and one that neither class knows by nothing.
 
@@ -24,13 +24,13 @@ from freshet.llm import textkernel as tk
 from freshet.session import ensure_importable
 
 #: Bound of the sample that is fitted on the driver, for each class.
-PER_CLASS = 2500
-HEADS = (4, 6)
+PER_CLASS = 6000
+HEADS = (4, 6, 8)
 #: Taken from every count; expressions found once or twice are judged by the shared backoff alone.
 DISCOUNT = 2.5
 WINDOW = 24
 #: Words above this ratio are counted as toxic expressions.
-STRONG = 1.2
+STRONG = 2.5
 
 
 def _heads(data: np.ndarray, w: tk.Words) -> list[np.ndarray]:
@@ -49,7 +49,7 @@ def _heads(data: np.ndarray, w: tk.Words) -> list[np.ndarray]:
 
 @dataclass
 class Ratios:
-    """Sorted hashes with their log ratios: words, then 6-byte heads, then 4-byte heads."""
+    """Sorted hashes with their log ratios: words, then heads from the longest to the shortest."""
 
     keys: list[np.ndarray]
     values: list[np.ndarray]
@@ -98,25 +98,22 @@ def fit_ratios(texts: list[str], label: np.ndarray) -> Ratios:
         if len(w.hashes):
             before = np.concatenate(([tk.U64(tk.START)], w.hashes[:-1]))
             before[np.concatenate(([True], w.row[1:] != w.row[:-1]))] = tk.U64(tk.START)
-            four, six = _heads(data, w)
-            seen.append((label[lo:hi][w.row], tk.mix(before * tk.U64(3) + w.hashes), w.hashes, six, four))
+            seen.append((label[lo:hi][w.row], tk.mix(before * tk.U64(3) + w.hashes), *_heads(data, w), w.hashes))
     if not seen:
-        return Ratios([np.zeros(0, np.uint64)] * 3, [np.zeros(0)] * 3)
-    cls, pair, word, six, four = (np.concatenate(x) for x in zip(*seen))
+        return Ratios([np.zeros(0, np.uint64)] * (len(HEADS) + 1), [np.zeros(0)] * (len(HEADS) + 1))
+    cls, pair, *chain = (np.concatenate(x) for x in zip(*seen))
     _, once = np.unique(pair ^ (cls.astype(np.uint64) * tk.U64(0xC2B2AE3D27D4EB4F)), return_index=True)
-    cls, word, six, four = cls[once], word[once], six[once], four[once]
-
-    def level(keys: np.ndarray, parents: np.ndarray):
-        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    cls = cls[once]
+    parent, known, ratio = np.zeros(len(once), np.uint64), np.zeros(1, np.uint64), np.zeros(1)
+    keys, values = [], []
+    for own in (x[once] for x in chain):
+        distinct, first, inverse = np.unique(own, return_index=True, return_inverse=True)
         counts = np.stack([np.bincount(inverse, weights=cls == c, minlength=len(distinct)) for c in (0, 1)], axis=1)
-        return distinct, first, _step(distinct, parents[first], counts)
-
-    k4, f4, r4 = level(four, np.zeros(len(four), np.uint64))
-    k6, f6, r6 = level(six, four)
-    k, f, r = level(word, six)
-    r6 = r6 + r4[np.searchsorted(k4, four[f6])]
-    r = r + r6[np.searchsorted(k6, six[f])]
-    return Ratios([k, k6, k4], [r, r6, r4])
+        above = ratio[np.searchsorted(known, parent[first])]
+        parent, known, ratio = own, distinct, above + _step(distinct, parent[first], counts)
+        keys.append(known)
+        values.append(ratio)
+    return Ratios(keys[::-1], values[::-1])
 
 
 def features(ratios: Ratios, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -194,12 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
     fold = F.lit(True) if fold is None else fold
     rows = labelled.sample(docs, labels, label, per_class, fold, id_col, text_col)
     counts = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1) & fold).groupBy(label).count().collect()}
-    ordinary, toxic = rows[rows["label"] == 0], rows[rows["label"] == 1]
-    share = counts.get(1, 0) / max(1, sum(counts.values()))
-    # as many rows of either class, so that neither model is better fed
-    n = min(len(ordinary), len(toxic)) or max(len(ordinary), len(toxic))
-    kept = rows.loc[sorted([*ordinary.index[:n], *toxic.index[:n]])]
-    return fit(kept["text"].tolist(), kept["label"].to_numpy(), toxic_share=share)
+    return fit(rows["text"].tolist(), rows["label"].to_numpy(), toxic_share=share)
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", least: float = 0.7) -> DataFrame:
