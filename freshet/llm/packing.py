@@ -154,8 +154,11 @@ def pack_documents(
         def documents():
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                for lo, _, packed in tokens.encoded(batch.column(1), vocabulary):
-                    yield from zip(ids[lo:], packed)
+                for lo, _, flat, counts in tokens.encoded(batch.column(1), vocabulary):
+                    raw = flat.tobytes()
+                    ends = (4 * np.cumsum(counts)).tolist()
+                    for doc, a, b in zip(ids[lo:], [0, *ends], ends):
+                        yield doc, raw[a:b]
 
         def table():
             columns = zip(*rows) if rows else [()] * 7

@@ -76,6 +76,14 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hash of the bytes of each span: a polynomial by differences of running sums, then mixed."""
+    power, inverse = _powers_to(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((_BYTE_CODE_LOWER if lower else _BYTE_CODE)[data] * power[: len(data)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 class Words(NamedTuple):
     starts: np.ndarray
     ends: np.ndarray
@@ -98,11 +106,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
     last[:-1] &= ~inside[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     row = np.searchsorted(offsets, starts, "right") - 1
-    power, inverse = _powers_to(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((_BYTE_CODE_LOWER if lower else _BYTE_CODE)[data] * power[: len(data)], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    return Words(starts, ends, row, np.bincount(row, minlength=n), hashes)
+    return Words(starts, ends, row, np.bincount(row, minlength=n), span_hashes(data, starts, ends, lower))
 
 
 def shingles(w: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:

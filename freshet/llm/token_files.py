@@ -27,11 +27,9 @@ ENCODINGS = {
 
 
 def _list_batches(ids: pa.Array, column: pa.Array, path: str) -> Iterator[pa.RecordBatch]:
-    for lo, hi, packed in tokens.encoded(column, path):
-        counts = np.array([len(p) // 4 for p in packed], dtype=np.int64)
+    for lo, hi, flat, counts in tokens.encoded(column, path):
         offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
-        lists = pa.ListArray.from_arrays(pa.array(offsets), values)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
         yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(counts), lists], ["doc_id", "n_tokens", "input_ids"])
 
 
