@@ -100,6 +100,8 @@ DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
+#: Last labels that make a host of words joined by a plain "at" and "dot".
+ENDINGS = frozenset("com org net edu gov mil int info biz io ai app dev co me tv us uk eu de fr es it nl be ch at pl pt se no fi dk ie ru ua cz gr tr in cn jp kr au nz ca mx br ar".split())
 _DIGIT_WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
 _DIGIT_ITEM = rf"(?:{_DIGIT_WORD}|[0-9])"
 _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[ -])?{_DIGIT_ITEM}(?:[ -]{_DIGIT_ITEM}){{6,}}(?![A-Za-z0-9])", re.I)
@@ -187,12 +189,10 @@ def join_addresses(m: Mapped) -> Mapped:
         a, b = found.span()
         if re.fullmatch(r"\s*@\s*", found["at"]) and not _WORDED.search(found[0]) and not re.search(r"\s", found["at"]):
             continue
-        plain = found["at"].strip().lower() == "at"
         tail = found[0][found.end("at") - a:]
-        if plain and not re.search(rf"\s+dot\s+|{_OPEN}", tail, re.I):
-            continue  # an ordinary "at" before an ordinary name
-        if found["at"].strip() == "@" and not re.search(rf"\s+dot\s+|{_OPEN}", tail, re.I):
-            continue
+        if not re.search(_OPEN, found["at"]):  # an ordinary "at" or "@" before ordinary words, unless they end as a host does
+            if not re.search(rf"\s+dot\s+|\s+\.\s+|{_OPEN}", tail, re.I) or re.split(r"[^A-Za-z0-9-]+", tail)[-1].lower() not in ENDINGS:
+                continue
         for joint in _JOINT.finditer(found[0]):
             edits.append((a + joint.start(), a + joint.end(), "@" if joint["a"] else "."))
     return m.replace(edits)
