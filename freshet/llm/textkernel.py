@@ -84,6 +84,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def rows_of(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Row of each of the ascending ``places``."""
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(places, offsets)))
+
+
 class Words(NamedTuple):
     starts: np.ndarray
     ends: np.ndarray
@@ -105,7 +110,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
     first[1:] &= ~inside[:-1] | edge[1:-1]
     last[:-1] &= ~inside[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    row = np.searchsorted(offsets, starts, "right") - 1
+    row = rows_of(starts, offsets)
     return Words(starts, ends, row, np.bincount(row, minlength=n), span_hashes(data, starts, ends, lower))
 
 

@@ -51,7 +51,7 @@ def write_tokens(
         for batch in batches:
             yield from _list_batches(batch.column(0), batch.column(1), vocabulary)
 
-    writer = dealt.mapInArrow(encode, "doc_id long, n_tokens long, input_ids array<int>").write.option("compression", "zstd")
+    writer = dealt.mapInArrow(encode, "doc_id long, n_tokens long, input_ids array<int>").write.option("compression", "snappy")
     for key, value in (ENCODINGS[encoding] | {"parquet.block.size": str(row_group_bytes), "parquet.page.row.count.limit": str(page_rows)}).items():
         writer = writer.option(key, value)
     writer.parquet(path)

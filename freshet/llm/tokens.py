@@ -66,8 +66,11 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
             before = data[max(0, at[k] - 3) : at[k]].tobytes()
             keep[k] = not before.endswith(_WIDE_SPACES)
         at = at[keep]
-    starts = np.union1d(at, offsets[:-1][filled])
-    row = np.searchsorted(offsets, starts, "right") - 1
+    begins = np.zeros(len(data), dtype=bool)
+    begins[at] = True
+    begins[offsets[:-1][filled]] = True
+    starts = np.flatnonzero(begins)
+    row = tk.rows_of(starts, offsets)
     ends = np.append(starts[1:], len(data)) if len(starts) else starts
     return starts, ends, row
 
