@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import labelled, minhash, packing, pii, quality_classifier, quality_rules, token_files, toxicity, url_filter
+from freshet.llm import decontamination, labelled, minhash, packing, pii, quality_classifier, quality_rules, token_files, toxicity, url_filter
 from freshet.llm.storage import new_path
 
 #: The rules of op2: host, path, verdict.
@@ -35,6 +35,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -66,6 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": op1_bradley_terry,
     "op2_url_filter": op2_url_filter,
+    "op3_decontamination": op3_decontamination,
     "op4_pii": op4_pii,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
