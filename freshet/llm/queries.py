@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontamination, labelled, minhash, packing, pii, quality_classifier, quality_rules, token_files, toxicity, url_filter
+from freshet.llm import decontamination, labelled, language_model, minhash, packing, pii, quality_classifier, quality_rules, token_files, toxicity, url_filter
 from freshet.llm.storage import new_path
 
 #: The rules of op2: host, path, verdict.
@@ -61,6 +61,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest_tokens(spark, path)
 
 
+def op9_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(spark.read.parquet(f"{sf_dir}/documents.parquet"), stored=True)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, fold=labelled.remainder(F.col("doc_id"), 3) != 1)
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_minhash": op7_minhash,
     "op8_token_files": op8_token_files,
+    "op9_interpolation": op9_interpolation,
     "op10_toxicity": op10_toxicity,
 }
 
