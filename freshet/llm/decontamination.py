@@ -262,3 +262,21 @@ def find_contamination(
         found = given.mapInArrow(run, SCHEMA)
         out = found if out is None else out.union(found)
     return out
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item within its edit budget, with all their columns."""
+    spark = ensure_importable(docs.sparkSession)
+    at = docs.schema.fieldNames().index(text_col)
+    for index in _chunks(benchmark, item_col, item_text_col):
+        sent = spark.sparkContext.broadcast(index)
+
+        def run(batches, sent=sent):
+            for batch in batches:
+                clean = np.ones(batch.num_rows, dtype=bool)
+                for lo, _, data, offsets in tk.slices(batch.column(at)):
+                    clean[[lo + where for where, *_ in matches(sent.value, data, offsets)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

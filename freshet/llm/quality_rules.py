@@ -17,6 +17,7 @@ from freshet.llm.storage import save
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: rule: (statistic, vote, beyond which value it votes); votes are -1 bad and 1 good, every rule may abstain (0). Rules
 #: are one-sided: that a text is not all capitals says little about a text that is all symbols.
 RULES = {
@@ -121,18 +122,13 @@ def fit(patterns: dict[tuple[int, ...], int], rounds: int = 50) -> tuple[float,
     return prior, [{v: math.log(x[1][v] / x[0][v]) for v in (1, 0, -1)} for x in like]
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """Statistics, votes, posterior and verdict of every row.
-
-    Returns ``id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, posterior, kept``.
-    ``base_failed``: under ten words, or over a fifth of them repeated; such rows are not kept. Otherwise a row is kept
-    if its posterior quality probability is at least ``least``. Null and empty texts have no words and fail; repeated
-    rows are judged alike; an empty table gives an empty result; other columns are ignored.
-    """
-    stats = statistics(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw")), "_raw")
-    voted = stats.withColumns({f"_v_{r}": vote(r) for r in RULES})
+def _voted(docs: DataFrame, id_col: str, text_col: str, whole: bool) -> tuple[DataFrame, Column, Column]:
+    """A written table of statistics and votes, of whole rows too if asked, with its verdict columns."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if whole else F.lit(None).cast("int")
+    stats = statistics(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_raw"), row.alias("_row")), "_raw")
     votes = [f"_v_{r}" for r in RULES]
-    voted = save(voted.select("_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *votes), "votes")
+    voted = stats.withColumns({f"_v_{r}": vote(r) for r in RULES})
+    voted = save(voted.select("_id", "_row", *STATISTICS, *votes), "votes")
     counted = voted.groupBy(*votes).count().collect()  # at most 3^rules rows
     prior, odds = fit({tuple(r[:-1]): r[-1] for r in counted})
     total = F.lit(math.log(prior / (1 - prior)))
@@ -140,7 +136,24 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
         total = total + F.when(F.col(name) == 1, table[1]).when(F.col(name) == -1, table[-1]).otherwise(table[0])
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     posterior = 1 / (1 + F.exp(-total))
+    return voted, failed, posterior
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """Statistics, votes, posterior and verdict of every row.
+
+    Returns ``id_col, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, posterior, kept``.
+    ``base_failed``: under ten words, or over a fifth of them repeated; such rows are not kept. Otherwise a row is kept
+    if its posterior quality probability is at least ``least``. Null and empty texts have no words and fail; repeated
+    rows are judged alike; an empty table gives an empty result; other columns are ignored.
+    """
+    voted, failed, posterior = _voted(docs, id_col, text_col, whole=False)
     return voted.select(
-        F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), posterior.alias("posterior"), (~failed & (posterior >= least)).alias("kept"),
+        F.col("_id").alias(id_col), *STATISTICS, failed.alias("base_failed"), posterior.alias("posterior"), (~failed & (posterior >= least)).alias("kept"),
     )
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, with all their columns."""
+    voted, failed, posterior = _voted(docs, id_col, text_col, whole=True)
+    return voted.where(~failed & (posterior >= least)).select("_row.*")
