@@ -21,10 +21,10 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 #: rule: (statistic, vote, beyond which value it votes); votes are -1 bad and 1 good, every rule may abstain (0). Rules
 #: are one-sided: that a text is not all capitals says little about a text that is all symbols.
 RULES = {
-    "repeats": ("repeat_share", -1, 0.12),
+    "repeats": ("repeat_share", -1, 0.2),
     "symbols": ("symbol_share", -1, 0.03),
     "symbol_words": ("symbol_word_share", -1, 0.15),
-    "lines": ("dup_line_share", -1, 0.3),
+    "lines": ("dup_line_share", -1, 0.45),
     "capitals": ("capital_share", -1, 0.4),
     "marks": ("mark_share", -1, 0.08),
     "sentences": ("stop_share", 1, 0.03),
