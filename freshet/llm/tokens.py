@@ -18,9 +18,9 @@ import pyarrow as pa
 
 from freshet.llm import textkernel as tk
 
-#: Pieces a worker remembers before it starts anew: about 100 MB.
-MEMO_PIECES = 1_200_000
-SLOTS = 1 << 22
+#: Pieces a worker remembers before it starts anew: about 50 MB.
+MEMO_PIECES = 600_000
+SLOTS = 1 << 21
 END_ID = 0
 
 _RUNS = re.compile(r"[^\W\d_]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n")
