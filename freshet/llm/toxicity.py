@@ -24,7 +24,7 @@ from freshet.llm import textkernel as tk
 from freshet.session import ensure_importable
 
 #: Bound of the sample that is fitted on the driver, for each class.
-PER_CLASS = 6000
+PER_CLASS = 4000
 HEADS = (4, 6, 8)
 #: Taken from every count; expressions found once or twice are judged by the shared backoff alone.
 DISCOUNT = 2.5
@@ -92,21 +92,24 @@ def _step(child: np.ndarray, parent: np.ndarray, counts: np.ndarray) -> np.ndarr
 
 def fit_ratios(texts: list[str], label: np.ndarray) -> Ratios:
     """Counts both classes in ``texts`` and returns the ratio of every word and head seen in either."""
-    seen = []
+    seen: list[list[np.ndarray]] = []
     for lo, hi, data, offsets in tk.slices(pa.array(texts, pa.string())):
         w = tk.words(data, offsets)
         if len(w.hashes):
             before = np.concatenate(([tk.U64(tk.START)], w.hashes[:-1]))
             before[np.concatenate(([True], w.row[1:] != w.row[:-1]))] = tk.U64(tk.START)
-            seen.append((label[lo:hi][w.row], tk.mix(before * tk.U64(3) + w.hashes), *_heads(data, w), w.hashes))
+            cls = label[lo:hi][w.row].astype(np.uint8)
+            pair = tk.mix(before * tk.U64(3) + w.hashes) ^ (cls * tk.U64(0xC2B2AE3D27D4EB4F))
+            _, once = np.unique(pair, return_index=True)
+            seen.append([x[once] for x in (pair, cls, *_heads(data, w), w.hashes)])
     if not seen:
         return Ratios([np.zeros(0, np.uint64)] * (len(HEADS) + 1), [np.zeros(0)] * (len(HEADS) + 1))
-    cls, pair, *chain = (np.concatenate(x) for x in zip(*seen))
-    _, once = np.unique(pair ^ (cls.astype(np.uint64) * tk.U64(0xC2B2AE3D27D4EB4F)), return_index=True)
-    cls = cls[once]
+    _, once = np.unique(np.concatenate([x.pop(0) for x in seen]), return_index=True)
+    cls = np.concatenate([x.pop(0) for x in seen])[once]
+    chain = (np.concatenate([x.pop(0) for x in seen])[once] for _ in range(len(HEADS) + 1))  # one level held at a time
     parent, known, ratio = np.zeros(len(once), np.uint64), np.zeros(1, np.uint64), np.zeros(1)
     keys, values = [], []
-    for own in (x[once] for x in chain):
+    for own in chain:
         distinct, first, inverse = np.unique(own, return_index=True, return_inverse=True)
         counts = np.stack([np.bincount(inverse, weights=cls == c, minlength=len(distinct)) for c in (0, 1)], axis=1)
         above = ratio[np.searchsorted(known, parent[first])]
