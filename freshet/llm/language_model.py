@@ -66,16 +66,30 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[first], np.add.reduceat(c, first, axis=0)
 
 
-def _distinct(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct words, with the start token, and pairs of a block."""
-    kept: tuple[list, list] = ([np.array([tk.START], dtype=np.uint64)], [])
-    for _, _, data, offsets in tk.slices(texts):
-        t = Tokens(data, offsets)
-        for kind, keys in ((WORD, t.word), (PAIR, t.pair)):
-            kept[kind].append(np.unique(keys))
-            if len(kept[kind]) > 8:
-                kept[kind][:] = [np.unique(np.concatenate(kept[kind]))]
-    return tuple(np.unique(np.concatenate(k)) for k in kept)
+class Numbered:
+    """A block's texts as numbers: its sorted distinct words, with the start token, and pairs, and each token's place
+    among them. Keys are sorted slice by slice and the slices' distinct keys are then placed in order, so nothing is
+    looked up at random."""
+
+    def __init__(self, texts: pa.ChunkedArray):
+        self.rows: list[np.ndarray] = []
+        local: tuple[list, list] = ([], [])
+        place: tuple[list, list] = ([], [])
+        for _, _, data, offsets in tk.slices(texts):
+            t = Tokens(data, offsets)
+            self.rows.append(t.counts)
+            for kind, keys in ((WORD, t.word), (PAIR, t.pair)):
+                distinct, inverse = np.unique(keys, return_inverse=True)
+                local[kind].append(distinct)
+                place[kind].append(inverse.astype(np.int32))
+        start = np.array([tk.START], dtype=np.uint64)
+        self.keys = tuple(np.unique(np.concatenate([start] * (kind == WORD) + local[kind] + [np.zeros(0, np.uint64)])) for kind in (WORD, PAIR))
+        self._local, self._place = local, place
+
+    def __iter__(self):
+        """For each slice its rows' token counts, and its tokens' numbers as words and as pairs."""
+        for i, counts in enumerate(self.rows):
+            yield counts, *(np.searchsorted(self.keys[k], self._local[k][i])[self._place[k][i]] for k in (WORD, PAIR))
 
 
 def _count(keys: np.ndarray, train: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -287,27 +301,31 @@ def score(docs: DataFrame, stored: bool = False, id_col: str = "doc_id", text_co
 
     def scores(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.combine_chunks()
-        lookups = []
-        for kind, keys in enumerate(_distinct(left["text"])):
+        block = Numbered(left["text"])
+        totals = []
+        for kind, keys in enumerate(block.keys):
             mine = right.filter(pc.equal(right["kind"], kind))
             order = np.argsort(mine["part"].to_numpy(), kind="stable")
             raw = mine["total"].to_pylist()
-            totals = np.concatenate([_large(raw[i]) for i in order]) if len(raw) else np.zeros(0, np.uint32)
-            if len(totals) != len(keys):
+            totals.append(np.concatenate([_large(raw[i]) for i in order]) if len(raw) else np.zeros(0, np.uint32))
+            if len(totals[-1]) != len(keys):
                 raise RuntimeError("a block's texts changed between two passes over the input")
-            lookups.append(Lookup(keys, totals))
         out = {x: [] for x in ("n_tokens", "n_known", "base_score", "score")}
-        for lo, hi, data, offsets in tk.slices(left["text"]):
-            t = Tokens(data, offsets)
-            b, own, p2, p1 = estimates(t, *lookups, n)
-            w = weights[b]
-            p = w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * unknown
-            base = np.log10((own + 1) / (n + (v + 1)))
-            m = hi - lo
-            out["n_tokens"].append(t.counts)
-            out["n_known"].append(np.bincount(t.row, weights=own > 0, minlength=m).astype(np.int64))
-            out["base_score"].append(np.bincount(t.row, weights=base, minlength=m))
-            out["score"].append(np.bincount(t.row, weights=np.log10(p), minlength=m))
+        words, pairs = (x.astype(np.float64) for x in totals)
+        openings = words[np.searchsorted(block.keys[WORD], tk.U64(tk.START))]
+        log_base = np.log10((words + 1) / (n + (v + 1)))
+        for counts, word, pair in block:
+            own = words[word]
+            first = np.cumsum(counts) - counts
+            context = np.empty_like(own)
+            context[1:] = own[:-1]
+            context[first] = openings
+            w = weights[bucket(context)]
+            p = w[:, 0] * (pairs[pair] / np.maximum(context, 1)) + w[:, 1] * (own / max(n, 1)) + w[:, 2] * unknown
+            out["n_tokens"].append(counts)
+            out["n_known"].append(np.add.reduceat((own > 0).astype(np.int64), first))
+            out["base_score"].append(np.add.reduceat(log_base[word], first))
+            out["score"].append(np.add.reduceat(np.log10(p), first))
         return pa.table({"doc_id": left["doc_id"], "held_out": pc.equal(left["role"], 0), **{x: np.concatenate(c) for x, c in out.items()}})
 
     totals = replies.select("block", "kind", "part", "total")
