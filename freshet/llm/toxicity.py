@@ -24,7 +24,7 @@ from freshet.llm import textkernel as tk
 from freshet.session import ensure_importable
 
 #: Bound of the sample that is fitted on the driver, for each class.
-PER_CLASS = 4000
+PER_CLASS = 2500
 HEADS = (4, 6, 8)
 #: Taken from every count; expressions found once or twice are judged by the shared backoff alone.
 DISCOUNT = 2.5
