@@ -55,7 +55,8 @@ def bbox(rings: Column) -> Column:
 
 
 def centroid(e: Column, rings: Column) -> Column:
-    """Area-weighted for polygons, length-weighted for lines, the mean of points otherwise."""
+    """Area-weighted for rings (parts that end where they begin), length-weighted for lines, else the mean of points."""
+    rung = F.forall(rings, lambda r: (F.size(r) > 3) & (F.element_at(r, 1) == F.element_at(r, -1)))
     cross = lambda s: s["x1"] * s["y2"] - s["x2"] * s["y1"]
     twice = _sum(e, cross)
     total = length(e)
@@ -67,7 +68,7 @@ def centroid(e: Column, rings: Column) -> Column:
         weighted = _sum(e, lambda s: (s[a] + s[b]) * cross(s)) / (twice * 3)
         on_line = _sum(e, lambda s: (s[a] + s[b]) / 2 * span(s)) / total
         mean = F.aggregate(points, _zero(), lambda acc, p: acc + p[axis]) / n
-        return F.when(twice != 0, weighted).when(total > 0, on_line).otherwise(mean)
+        return F.when(rung & (twice != 0), weighted).when(total > 0, on_line).otherwise(mean)
 
     return F.struct(along("x1", "x2", "x").alias("x"), along("y1", "y2", "y").alias("y"))
 

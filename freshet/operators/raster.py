@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.functions import wkb
 from freshet.operators.spatial import signal
 from freshet.session import ensure_importable
 from freshet.vocabulary import CROPLAND, PIXEL_KM2
@@ -118,18 +119,22 @@ def polygonize(pixels: DataFrame, wanted: int = CROPLAND, tile: str = "tile") ->
     ensure_importable(pixels.sparkSession)
     wanted_only = pixels.where(F.col("value") == wanted).select(F.col(tile).cast("long").alias("tile"), F.col("row").cast("int"), F.col("col").cast("int"))
 
-    def trace(pdf: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = pdf["row"].min(), pdf["col"].min()
-        mask = np.zeros((pdf["row"].max() - r0 + 1, pdf["col"].max() - c0 + 1), dtype=bool)
-        mask[pdf["row"] - r0, pdf["col"] - c0] = True
+    def trace(table: pa.Table) -> pa.Table:
+        row, col = table["row"].to_numpy(), table["col"].to_numpy()
+        r0, c0 = row.min(), col.min()
+        mask = np.zeros((row.max() - r0 + 1, col.max() - c0 + 1), dtype=bool)
+        mask[row - r0, col - c0] = True
         labels = label_regions(mask)
         out = []
         for k in range(1, labels.max() + 1):
             rows, cols = np.nonzero(labels == k)
             a, b = rows.min(), cols.min()
             rings = outline(labels[a : rows.max() + 1, b : cols.max() + 1] == k)
-            shaped = [[{"x": float(x + b + c0), "y": float(y + a + r0)} for x, y in ring] for ring in rings]
-            out.append((int(pdf["tile"].iloc[0]), k, len(rows), shaped))
-        return pd.DataFrame(out, columns=["tile", "region", "cells", "rings"])
-
-    return wanted_only.groupBy("tile").applyInPandas(trace, "tile long, region int, cells long, rings array<array<struct<x:double,y:double>>>")
+            out.append((k, len(rows), wkb.shape_row(6, [[(float(x + b + c0), float(y + a + r0)) for x, y in ring] for ring in rings])["rings"]))
+        regions, cells, shapes = zip(*out)
+        return pa.table({
+            "tile": pa.array([table["tile"][0].as_py()] * len(out), pa.int64()), "region": pa.array(regions, pa.int32()),
+            "cells": pa.array(cells, pa.int64()), "rings": pa.array(shapes, wkb.ARROW_RINGS),
+        })
+
+    return wanted_only.groupBy("tile").applyInArrow(trace, f"tile long, region int, cells long, rings {wkb.RINGS}")
