@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
