@@ -199,7 +199,7 @@ def join_addresses(m: Mapped) -> Mapped:
 
 
 #: Bytes of which a text needs one for the second pass to change anything; tested on whole batches.
-_SECOND_SIGN = re.compile(rf"[^\x00-˿‘-‟…]|[ ­]|{_OPEN}\s*(?:at|dot|@|\.|punkt|punto|point)\s*{_CLOSE}|\s(?:at|@)\s[^\n]{{0,80}}\sdot\s|@[^\n]{{0,80}}\sdot\s|(?<![A-Za-z0-9]){_DIGIT_WORD}[ -](?:{_DIGIT_ITEM}[ -])+|(?:dot|point) (?:{_DIGIT_ITEM})", re.I)
+_SECOND_SIGN = re.compile(rf"[^\x00-˿‘-‟…]|[ ­]|{_OPEN}\s*(?:at|dot|@|\.|punkt|punto|point)\s*{_CLOSE}|\s(?:at|@)\s[^\n]{{0,80}}\sdot\s|@[^\n]{{0,80}}\s(?:dot|\.)\s|(?<![A-Za-z0-9]){_DIGIT_WORD}[ -](?:{_DIGIT_ITEM}[ -])+|(?:dot|point) (?:{_DIGIT_ITEM})", re.I)
 
 
 def find_disguised(text: str) -> list[Span]:
