@@ -9,8 +9,6 @@ sys.path.insert(0, ROOT)
 import pytest  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
-DATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
