@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,6 +53,16 @@ def inventory(layers: DataFrame, analysis: str, layer: str, kind: str = "vector"
     return counted.select(F.lit(analysis).alias("analysis"), F.concat(F.lit(analysis.lower() + "_"), "_layer").alias("layer"), F.lit(kind).alias("type"), "features")
 
 
+def consolidate(layers: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+    """Layers of several analyses one under another by column name, with ``analysis`` and ``layer``, the latter led by
+    the analysis. Columns that a layer lacks are null."""
+    named = [
+        df.select(F.lit(analysis).alias("analysis"), F.lit(f"{analysis.lower()}_{layer}").alias("layer"), *[F.col(f"`{c}`") for c in df.columns if c not in ("analysis", "layer")])
+        for (analysis, layer), df in layers.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """``column, non_null, nulls, distinct_values`` of every column, in one pass; nulls are no value."""
     stats = []

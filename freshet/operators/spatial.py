@@ -11,12 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions import geometry as g
+from freshet.functions.projections import reproject
 
 BOX = ("minx", "miny", "maxx", "maxy")
 
 
-def with_box(df: DataFrame, rings: str = "rings") -> DataFrame:
-    """Adds the box columns and ``edges`` of a geometry column."""
+def with_box(df: DataFrame, rings: str = "rings", crs: str = "geographic") -> DataFrame:
+    """Adds the box columns and ``edges`` of a geometry column, projected first if ``crs`` names a projection. Areas
+    want ``cea``; lengths are planar in whatever is chosen."""
+    df = df.withColumn(rings, reproject(F.col(rings), crs))
     out = df.withColumn("_box", g.bbox(F.col(rings)))
     return out.withColumns({b: F.col(f"_box.{b}") for b in BOX} | {"edges": g.edges(F.col(rings))}).drop("_box")
 

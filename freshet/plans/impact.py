@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import geometry as g
 from freshet.operators import reports, spatial, tags
-from freshet.vocabulary import BUILDING, CRITICAL, STRUCTURES, TRANSPORT
+from freshet.vocabulary import BUILDING, CRITICAL, CROPLAND, PIXEL_KM2, STRUCTURES, TRANSPORT
 
 
 def requested(zones: DataFrame, keys: Sequence[int] | DataFrame | None) -> DataFrame:
@@ -73,6 +73,17 @@ def farmland(zones: DataFrame, crops: DataFrame, size: float, pair_duplicates: b
     return zones.select("linkno").join(sums, "linkno", "left").select("linkno", (F.coalesce("area", F.lit(0.0)) / unit).alias("area_km2"))
 
 
+def farmland_raster(zones: DataFrame, pixels: DataFrame, size: float, key: str, wanted: int = CROPLAND, pixel_km2: float = PIXEL_KM2, all_touched: bool = False) -> DataFrame:
+    """``total_farmland_cells, total_valid_cells, total_farmland_area_km2, total_area_km2, farmland_percentage`` of the
+    pixels in the union of the zones; without a valid pixel the share is 0."""
+    inside = spatial.zonal_union(pixels.where(F.col("value") != 0), zones, size, key, all_touched)
+    cells, valid = F.count_if(F.col("value") == wanted), F.count(F.lit(1))
+    return inside.agg(
+        cells.alias("total_farmland_cells"), valid.alias("total_valid_cells"), (cells * pixel_km2).alias("total_farmland_area_km2"),
+        (valid * pixel_km2).alias("total_area_km2"), F.when(valid > 0, cells / valid * 100).otherwise(0.0).alias("farmland_percentage"),
+    )
+
+
 def affected_buildings(zones: DataFrame, features: DataFrame, size: float, values: Sequence[str] = BUILDING) -> DataFrame:
     """Building-zone pairs: a building that touches two zones comes twice."""
     tags.require(features, "building")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet import diagnostics
 from freshet import vocabulary as v
 from freshet.functions import geometry as g
 from freshet.functions import projections as p
@@ -366,6 +367,14 @@ def polygonize_area(spark, d):
     return traced.groupBy(F.col("tile").cast("int").alias("tile")).agg(F.sum("cells").alias("cells"), F.sum("area").alias("area"))
 
 
+@query(f""", inside AS (SELECT DISTINCT pixel_id, value FROM cover_pixels a JOIN basins b ON {_CENTRE} WHERE linkno < 12 AND value <> 0)
+SELECT count(*) FILTER (WHERE value = 40) AS total_farmland_cells, count(*) AS total_valid_cells, round(count(*) FILTER (WHERE value = 40) * CAST(0.0001 AS DOUBLE), 6) AS total_farmland_area_km2,
+  round(count(*) * CAST(0.0001 AS DOUBLE), 6) AS total_area_km2, round(count(*) FILTER (WHERE value = 40) / CAST(count(*) AS DOUBLE) * 100, 6) AS farmland_percentage FROM inside""", "basins", "cover_pixels")
+def farmland_raster_area(spark, d):
+    out = impact.farmland_raster(shapes(spark, d, "basins").where("linkno < 12"), shapes(spark, d, "cover_pixels"), CELL, "pixel_id")
+    return out.withColumns({c: F.round(c, 6) for c in ("total_farmland_area_km2", "total_area_km2", "farmland_percentage")})
+
+
 # --- sets, tops and reports ------------------------------------------------------------------------------------------
 
 
@@ -457,3 +466,22 @@ def raster_metadata(spark, d):
         F.array(F.col("n_nationkey").cast("double"), F.lit(0.25), F.lit(0.0), F.lit(20.0), F.lit(0.0), F.lit(-0.25)).alias("gt"),
     )
     return raster.metadata(tiles, "Population").withColumn("layer_name", F.lower("layer_name"))
+
+
+@query("""SELECT 'Buildings' AS analysis, 'buildings_types' AS layer, building AS name, CAST(NULL AS BIGINT) AS linkno FROM (SELECT DISTINCT building FROM buildings WHERE building IS NOT NULL)
+UNION ALL SELECT 'Farmland', 'farmland_zones', NULL, linkno FROM basins""", "buildings", "basins")
+def consolidate_layers(spark, d):
+    types = relation(spark, d, "buildings").where("building is not null").select(F.col("building").alias("name")).distinct()
+    return reports.consolidate({("Buildings", "types"): types, ("Farmland", "zones"): relation(spark, d, "basins").select("linkno")})
+
+
+@query("""SELECT CAST(NULL AS VARCHAR) AS layer_name, CASE WHEN event_id % 3 = 2 THEN NULL WHEN event_id % 3 = 0 THEN 1 ELSE 3 END AS geometry_type, 'EPSG:4326' AS crs, count(*) AS features,
+  count(*) FILTER (WHERE event_id % 3 = 2) AS empty FROM events GROUP BY 2""")
+def verify_geometries(spark, d):
+    header = F.expr("CASE event_id % 3 WHEN 0 THEN '0101000000' WHEN 1 THEN '0000000003' END")
+    return diagnostics.verify(spark.read.parquet(f"{d}/events.parquet").select(header.alias("geometry"), F.lit("EPSG:4326").alias("crs")))
+
+
+@query("SELECT 'highway' AS tag, kind AS value, count(*) AS count FROM (SELECT CASE kind WHEN 'click' THEN 'primary' WHEN 'view' THEN 'residential' ELSE 'track' END AS kind FROM osm_tags) GROUP BY kind UNION ALL SELECT 'railway', kind, count(*) FROM (SELECT CASE kind WHEN 'purchase' THEN 'rail' ELSE 'abandoned' END AS kind FROM osm_tags) GROUP BY kind", "osm_tags")
+def tag_values_report(spark, d):
+    return diagnostics.tag_report(relation(spark, d, "osm_tags"), ("highway", "railway"))

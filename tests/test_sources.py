@@ -152,3 +152,16 @@ def test_osm_pbf(spark, tmp_path):
     assert osmpbf.read_pbf(spark, path, box=(3.5, 3.5, 9, 9)).where("osm_type = 'node'").count() == 1
     done = osmpbf.convert(spark, [path, str(tmp_path / "none.pbf")], f"file://{tmp_path}/out").collect()
     assert sorted((r.status[:6], r.features_extracted) for r in done) == [("FAILED", 0), ("SUCCES", 13)]
+
+
+def test_discovery_and_verification(spark, tmp_path):
+    from freshet import diagnostics
+
+    path = pbf(tmp_path)
+    (tmp_path / "y.pbf").write_bytes(b"")
+    found = diagnostics.discover(spark, str(tmp_path), "*.osm.pbf", "*.pbf")
+    assert [p.rsplit("/", 1)[-1] for p in found] == ["x.osm.pbf", "y.pbf"]
+    with pytest.raises(FileNotFoundError):
+        diagnostics.discover(spark, str(tmp_path), "*.tif")
+    rows = diagnostics.verify(osmpbf.read_pbf(spark, path)).collect()
+    assert {(r.geometry_type, r.features, r.empty) for r in rows} == {(1, 7, 0), (2, 4, 0), (3, 1, 0), (6, 1, 0)}
