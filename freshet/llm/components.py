@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.storage import discard, save
+from freshet.llm.storage import apart, discard, save
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -24,9 +24,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(apart(lowest), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u")
+        small = large.join(apart(down), "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
         following = save(small.where("u <> v").distinct(), "edges")
         discard(current)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm import textkernel as tk
 from freshet.llm.components import components
-from freshet.llm.storage import discard, save
+from freshet.llm.storage import apart, discard, save
 from freshet.session import ensure_importable
 
 BINS, ROWS, BANDS = 256, 4, 40
@@ -231,14 +231,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     banded = classes.select("node", "bands").mapInArrow(_spread_bands, "bucket long, node long")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = banded.join(shared, "bucket").join(classes.select("node", "sig"), "node")
+    members = banded.join(apart(shared), "bucket").join(classes.select("node", "sig"), "node")
     n_blocks = F.ceil(F.col("n") / BLOCK)
     edges = save(_in_blocks(members.select("bucket", "node", "n", "sig"), "bucket", n_blocks, "sig", _plausible).distinct(), "plausible")
 
     groups = save(components(edges), "groups")
     sized = groups.join(classes.select("node", "n_shingles"), "node")
     sizes = sized.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
-    wanted = groups.join(sizes, "component")
+    wanted = groups.join(apart(sizes), "component")
     texts = given.join(groups.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
     gathered = texts.dropDuplicates(["node"]).join(wanted, "node")
     n_blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("total") / BLOCK_SHINGLES), F.col("n")))

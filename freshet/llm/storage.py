@@ -51,3 +51,9 @@ def discard(df: DataFrame) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def apart(aggregated: DataFrame) -> DataFrame:
+    """An aggregate about to be joined on its own key, dealt out once more. A join that shares the aggregate's exchange
+    cannot split a hot key of its other side; one with exchanges of its own can."""
+    return aggregated.repartition(shuffle_partitions(aggregated.sparkSession))
