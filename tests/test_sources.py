@@ -158,7 +158,7 @@ def test_discovery_and_verification(spark, tmp_path):
     from freshet import diagnostics
 
     path = pbf(tmp_path)
-    (tmp_path / "y.pbf").write_bytes(b"")
+    (tmp_path / "y.pbf").write_bytes(b"x")
     found = diagnostics.discover(spark, str(tmp_path), "*.osm.pbf", "*.pbf")
     assert [p.rsplit("/", 1)[-1] for p in found] == ["x.osm.pbf", "y.pbf"]
     with pytest.raises(FileNotFoundError):
