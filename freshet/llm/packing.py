@@ -1,8 +1,8 @@
 """Vector bin packing of token sequences by the dot-product heuristic.
 
 Every document's ids are cut at multiples of the sequence length; whole pieces fill sequences of their own, and the
-remainders are placed under three limits at once: tokens, segments, and tokens that bear loss (all but a document's
-first). Packing needs no shuffle: each input partition packs its own documents in windows, and its last, partly filled
+remainders are placed under three limits at once: tokens, segments, and tokens that bear loss (all but a prompt, or
+but a document's first). Packing needs no shuffle: each input partition packs its own documents in windows, and its last, partly filled
 sequences are cut down by powers of two, which need no padding.
 """
 
@@ -29,20 +29,23 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class Piece:
-    __slots__ = ("doc", "start", "ids", "total")
+    """Ids of a document from ``start`` on; its first ``quiet`` ids bear no loss."""
 
-    def __init__(self, doc, start: int, ids: bytes, total: int):
-        self.doc, self.start, self.ids, self.total = doc, start, ids, total
+    __slots__ = ("doc", "start", "ids", "total", "quiet")
+
+    def __init__(self, doc, start: int, ids: bytes, total: int, quiet: int = 1):
+        self.doc, self.start, self.ids, self.total, self.quiet = doc, start, ids, total, quiet
 
     def __len__(self) -> int:
         return len(self.ids) // 4
 
     @property
     def loss(self) -> int:
-        return len(self) - (self.start == 0)
+        return len(self) - min(len(self), max(0, self.quiet - self.start))
 
     def cut(self, n: int) -> tuple[Piece, Piece]:
-        return Piece(self.doc, self.start, self.ids[: 4 * n], self.total), Piece(self.doc, self.start + n, self.ids[4 * n :], self.total)
+        head = Piece(self.doc, self.start, self.ids[: 4 * n], self.total, self.quiet)
+        return head, Piece(self.doc, self.start + n, self.ids[4 * n :], self.total, self.quiet)
 
 
 def dot_product_bins(pieces: list[Piece], length: int, segments: int, loss: int) -> list[list[Piece]]:
@@ -73,7 +76,7 @@ def dot_product_bins(pieces: list[Piece], length: int, segments: int, loss: int)
         if live.any() and room[0] >= 1 and room[1] >= 1:
             at = np.flatnonzero(live)
             big = at[np.argmax(demand[at, 0])]
-            n = int(min(room[0], room[2] + (pieces[big].start == 0)))
+            n = int(min(room[0], room[2] + max(0, pieces[big].quiet - pieces[big].start)))
             if 0 < n < len(pieces[big]):
                 head, tail = pieces[big].cut(n)
                 chosen.append(head)
@@ -104,19 +107,23 @@ def powers(bin_: list[Piece], length: int) -> list[list[Piece]]:
     return out
 
 
-def pack(docs: Iterator[tuple[int, bytes]], length: int = LENGTH, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS, window: int = WINDOW) -> Iterator[list[Piece]]:
-    """Sequences of the pieces of ``docs`` (id, packed ids); each id is in exactly one piece."""
-    whole = min(length, loss)
+def pack(
+    docs: Iterator[tuple[int, bytes, int]], length: int = LENGTH, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS, window: int = WINDOW
+) -> Iterator[list[Piece]]:
+    """Sequences of the pieces of ``docs`` (id, packed ids, how many of the first bear no loss); each id is in exactly
+    one piece."""
     waiting: list[Piece] = []
-    for doc, ids in docs:
+    for doc, ids, quiet in docs:
         total = len(ids) // 4
         at = 0
-        while total - at >= whole:
-            n = min(length, loss + (at == 0), total - at)
-            yield [Piece(doc, at, ids[4 * at : 4 * (at + n)], total)]
+        while True:
+            n = min(length, loss + max(0, quiet - at))
+            if total - at < n:
+                break
+            yield [Piece(doc, at, ids[4 * at : 4 * (at + n)], total, quiet)]
             at += n
         if at < total:
-            waiting.append(Piece(doc, at, ids[4 * at :], total))
+            waiting.append(Piece(doc, at, ids[4 * at :], total, quiet))
         if len(waiting) >= window:
             bins = dot_product_bins(waiting, length, segments, loss)
             waiting = []
@@ -134,18 +141,21 @@ def pack(docs: Iterator[tuple[int, bytes]], length: int = LENGTH, segments: int
 
 def pack_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
-    length: int = LENGTH, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS,
+    length: int = LENGTH, segments: int = MAX_SEGMENTS, loss: int = MAX_LOSS, prompt_col: str | None = None,
 ) -> DataFrame:
     """One row for each piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
-    Sequences hold at most ``length`` tokens, ``segments`` pieces and ``loss`` loss-bearing tokens. A null or empty
+    Sequences hold at most ``length`` tokens, ``segments`` pieces and ``loss`` loss-bearing tokens. ``prompt_col`` says
+    how many of a row's first tokens are a prompt and bear no loss (null or less than 1: one, which nothing predicts). A
+    null or empty
     text is its end id alone; repeated rows and null ids are packed as they come; an empty table gives no rows; other
     columns are ignored. ``sequence_id`` is the partition's number times 2^33 plus a count, the same whenever the
     input is the same.
     """
     vocabulary = vocabulary or tokens.tokenizer_path()
     ensure_importable(docs.sparkSession)
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    quiet = F.lit(1) if prompt_col is None else F.greatest(F.lit(1), F.coalesce(F.col(prompt_col), F.lit(1))).cast("int")
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), quiet.alias("quiet"))
 
     def run(batches):
         base = TaskContext.get().partitionId() << 33
@@ -153,12 +163,12 @@ def pack_documents(
 
         def documents():
             for batch in batches:
-                ids = batch.column(0).to_pylist()
+                ids, silent = batch.column(0).to_pylist(), batch.column(2).to_pylist()
                 for lo, _, flat, counts in tokens.encoded(batch.column(1), vocabulary):
                     raw = flat.tobytes()
                     ends = (4 * np.cumsum(counts)).tolist()
-                    for doc, a, b in zip(ids[lo:], [0, *ends], ends):
-                        yield doc, raw[a:b]
+                    for doc, still, a, b in zip(ids[lo:], silent[lo:], [0, *ends], ends):
+                        yield doc, raw[a:b], still
 
         def table():
             columns = zip(*rows) if rows else [()] * 7

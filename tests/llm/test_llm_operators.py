@@ -10,11 +10,12 @@ import zlib
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from freshet.llm import decontamination, language_model, minhash, packing, pii, quality_rules, tokens, url_filter
+from freshet.llm import decontamination, language_model, minhash, packing, pii, quality_rules, token_files, tokens, url_filter
 from freshet.llm import textkernel as tk
 from freshet.llm.queries import ORACLE_SQL, QUERIES
 
@@ -294,16 +295,25 @@ def test_redaction_keeps_the_rest(spark):
     assert got == {1: ("<EMAIL> and <EMAIL>, <IP>.", 26), 2: (None, None), 3: ("plain", 5)}
 
 
-def test_packing_limits():
+@pytest.mark.parametrize("loss", [90, 250, 256])
+def test_packing_limits(loss):
     rng = random.Random(9)
-    docs = [(i, np.arange(rng.choice((1, 3, 40, 700, 3000)), dtype="<u4").tobytes()) for i in range(400)]
-    sequences = list(packing.pack(iter(docs), length=256, segments=6, loss=250, window=64))
+    docs = [(i, np.arange(rng.choice((1, 3, 40, 700, 3000)), dtype="<u4").tobytes(), rng.choice((1, 1, 20, 500))) for i in range(400)]
+    sequences = list(packing.pack(iter(docs), length=256, segments=6, loss=loss, window=64))
     got = collections.defaultdict(list)
     for s in sequences:
-        assert sum(map(len, s)) <= 256 and len(s) <= 6 and sum(p.loss for p in s) <= 250
+        assert sum(map(len, s)) <= 256 and len(s) <= 6 and sum(p.loss for p in s) <= loss
         for p in s:
             got[p.doc].append((p.start, p.ids))
-    assert {d: b"".join(x for _, x in sorted(v)) for d, v in got.items()} == dict(docs)
+            assert p.loss == sum(k >= p.quiet for k in range(p.start, p.start + len(p)))
+    assert {d: b"".join(x for _, x in sorted(v)) for d, v in got.items()} == {d: ids for d, ids, _ in docs}
+
+
+def test_packing_prompts(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", 4), (2, "a b c d e f", None), (3, "a b c d e f", -2)], "doc_id long, text string, prompt int")
+    rows = packing.pack_documents(df, length=64, loss=2, prompt_col="prompt").orderBy("doc_id", "start").collect()
+    assert max(r.length for r in rows if r.doc_id == 1 and r.start == 0) == 6  # four quiet ones and two
+    assert max(r.length for r in rows if r.doc_id != 1) <= 3
 
 
 def test_packing_query(spark, docs):
@@ -340,6 +350,18 @@ def test_token_files(spark, docs):
     assert got == want
 
 
+@pytest.mark.parametrize("encoding, wanted", [("dictionary", "RLE_DICTIONARY"), ("delta", "DELTA_BINARY_PACKED")])
+def test_token_file_format(spark, tmp_path, encoding, wanted):
+    """The encoding asked for, and page indexes for selective reads."""
+    df = spark.createDataFrame([(i, " ".join(f"word{i % 7} and{j}" for j in range(60))) for i in range(4000)], "doc_id long, text string")
+    token_files.write_tokens(df, f"file://{tmp_path}/t", encoding=encoding, row_group_bytes=1 << 20)
+    files = [pq.ParquetFile(p).metadata for p in sorted((tmp_path / "t").glob("*.parquet"))]
+    columns = [f.row_group(k).column(2) for f in files for k in range(f.num_row_groups)]
+    assert all(c.path_in_schema.startswith("input_ids") and c.has_offset_index for c in columns)
+    assert any(wanted in c.encodings or "PLAIN_DICTIONARY" in c.encodings and encoding == "dictionary" for c in columns)
+    assert token_files.read_tokens(spark, f"file://{tmp_path}/t").where("doc_id between 10 and 19").count() == 10
+
+
 def test_language_model(spark, docs):
     words = {d: [*WORD.findall(lower(t)), None] for d, t in docs.items()}
     train = [d for d in words if zlib.crc32(str(d).encode()) % 7 != 2]
