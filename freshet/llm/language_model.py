@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm import textkernel as tk
 from freshet.llm.labelled import remainder
-from freshet.llm.storage import discard, save, shuffle_partitions
+from freshet.llm.storage import save, shuffle_partitions
 from freshet.session import ensure_importable
 
 #: Buckets of context counts: 0, 1, 2-3, 4-7, ...

@@ -111,17 +111,17 @@ def _spread_bands(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(node, BANDS))], ["bucket", "node"])
 
 
-def _spanning(n: int, links) -> list[tuple[int, int]]:
-    """Edges that join what ``links`` (arrays of linked later members, one for each member) joins: stars where it can."""
-    label = np.arange(n)
-    out = []
-    for i, others in enumerate(links):
-        for j in others:
-            a, b = label[i], label[j]
-            if a != b:
-                label[label == max(a, b)] = min(a, b)
-                out.append((i, int(j)))
-    return out
+class Forest:
+    """Groups of a block's members; keeps the links that joined two of them."""
+
+    def __init__(self, node: np.ndarray):
+        self.node, self.label, self.links = node, np.arange(len(node)), []
+
+    def join(self, i: int, j: int) -> None:
+        a, b = self.label[i], self.label[j]
+        if a != b:
+            self.label[self.label == max(a, b)] = min(a, b)
+            self.links.append((int(self.node[i]), int(self.node[j])))
 
 
 def _table(pairs: list[tuple[int, int]]) -> pa.Table:
@@ -136,23 +136,17 @@ def _plausible(table: pa.Table) -> pa.Table:
     sig = np.frombuffer(b"".join(table["sig"].to_pylist()), dtype=np.uint8).reshape(len(node), BINS)
     order = np.lexsort((node, side))
     node, side, sig = node[order], side[order], sig[order]
-    n = len(node)
-    label = np.arange(n)
-    pairs = []
-    for i in range(n - 1):
-        after = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
-        if side[i] == 0 and side[-1] == 1:
-            after = after[side[after] == 1]
-        elif side[i] == 1:
+    two = side[0] == 0 and side[-1] == 1
+    forest = Forest(node)
+    for i in range(len(node) - 1 if two or side[0] == side[-1] == 0 else 0):
+        if two and side[i] == 1:
             break
-        if len(after):
-            near = after[(sig[after] == sig[i]).sum(axis=1) >= AGREE]
-            for j in near:
-                a, b = label[i], label[j]
-                if a != b:
-                    label[label == max(a, b)] = min(a, b)
-                    pairs.append((int(node[i]), int(node[j])))
-    return _table(pairs)
+        after = np.flatnonzero(forest.label[i + 1 :] != forest.label[i]) + i + 1
+        if two:
+            after = after[side[after] == 1]
+        for j in after[(sig[after] == sig[i]).sum(axis=1) >= AGREE]:
+            forest.join(i, j)
+    return _table(forest.links)
 
 
 def _confirmed(table: pa.Table) -> pa.Table:
@@ -167,7 +161,7 @@ def _confirmed(table: pa.Table) -> pa.Table:
     two = side[-1] == 1 and side[0] == 0
     left = np.flatnonzero(side == 0) if two else np.arange(len(node))
     right = np.flatnonzero(side == 1) if two else left
-    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
     often = np.bincount(column) > 1
     rank = np.cumsum(often) - 1
     row = np.repeat(np.arange(len(node)), size)[often[column]]
@@ -184,16 +178,11 @@ def _confirmed(table: pa.Table) -> pa.Table:
         shared += dense[left] @ dense[right].T
     union = size[left][:, None] + size[right][None, :] - shared
     linked = 100 * shared >= 75 * union
-    label = np.arange(len(node))
-    pairs = []
+    forest = Forest(node)
     for i in range(len(left)):
         for j in np.flatnonzero(linked[i]):
-            x, y = left[i], right[j]
-            a, b = label[x], label[y]
-            if a != b:
-                label[label == max(a, b)] = min(a, b)
-                pairs.append((int(node[x]), int(node[y])))
-    return _table(pairs)
+            forest.join(left[i], right[j])
+    return _table(forest.links)
 
 
 def _in_blocks(members: DataFrame, group: str, blocks, payload: str, func) -> DataFrame:
