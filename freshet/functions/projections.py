@@ -57,9 +57,11 @@ def utm_epsg(lon: Column, lat: Column) -> Column:
     return utm_zone(lon) + F.when(lat < 0, 32700).otherwise(32600)
 
 
-def utm_forward(lon: Column, lat: Column, zone: Column | None = None) -> Column:
-    """Universal transverse Mercator by Krueger's series to third order (millimetres inside a zone)."""
+def utm_forward(lon: Column, lat: Column, zone: Column | None = None, south: Column | None = None) -> Column:
+    """Universal transverse Mercator by Krueger's series to third order (millimetres inside a zone). Zone and hemisphere
+    are the point's own unless given."""
     zone = utm_zone(lon) if zone is None else zone
+    south = lat < 0 if south is None else south
     n = FLATTENING / (2 - FLATTENING)
     radius = A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
@@ -72,14 +74,24 @@ def utm_forward(lon: Column, lat: Column, zone: Column | None = None) -> Column:
         x = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         y = y + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     k = 0.9996 * radius
-    return F.struct((x * k + 500000.0).alias("x"), (y * k + F.when(lat < 0, 10000000.0).otherwise(0.0)).alias("y"))
+    return F.struct((x * k + 500000.0).alias("x"), (y * k + F.when(south, 10000000.0).otherwise(0.0)).alias("y"))
 
 
-FORWARD = {"cea": cea_forward, "mollweide": mollweide_forward, "utm": utm_forward}
+FORWARD = {"cea": cea_forward, "mollweide": mollweide_forward}
+
+
+def estimate_utm(minx: float, miny: float, maxx: float, maxy: float) -> str:
+    """``utm:16`` or, south of the equator, ``utm:-16``: the zone of the middle of the bounds, for :func:`reproject`."""
+    zone = int((minx + maxx + 360) / 12) % 60 + 1
+    return f"utm:{-zone if miny + maxy < 0 else zone}"
 
 
 def reproject(rings: Column, crs: str) -> Column:
-    """Every point of ``rings`` (degrees) in the named projection; geographic coordinates stay as they are."""
+    """Every point of ``rings`` (degrees) in the named projection: ``cea``, ``mollweide``, or ``utm:`` with one zone for
+    all points, negative in the south. ``geographic`` leaves them as they are."""
     if crs == "geographic":
         return rings
+    if crs.startswith("utm:"):
+        zone = int(crs[4:])
+        return F.transform(rings, lambda r: F.transform(r, lambda p: utm_forward(p["x"], p["y"], F.lit(abs(zone)), F.lit(zone < 0))))
     return F.transform(rings, lambda r: F.transform(r, lambda p: FORWARD[crs](p["x"], p["y"])))

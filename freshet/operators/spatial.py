@@ -59,16 +59,22 @@ def spatial_semi(left: DataFrame, right: DataFrame, size: float, key: str, left_
     return left.join(hits, key, "left_semi")
 
 
+def _positive(pairs: DataFrame, name: str, measure: Column) -> DataFrame:
+    """Adds a measure and keeps rows where it is positive. Exploding it evaluates it once; a filter on it would be
+    pushed into the join and evaluate it there too."""
+    return pairs.withColumn(name, F.explode(F.filter(F.array(measure), lambda m: m > 0)))
+
+
 def overlay_area(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     """Pairs whose interiors meet, with ``area`` of their intersection."""
     pairs = candidates(left, right, size)
-    return pairs.withColumn("area", g.intersection_area(F.col("l_edges"), F.col("r_edges"))).where("area > 0")
+    return _positive(pairs, "area", g.intersection_area(F.col("l_edges"), F.col("r_edges")))
 
 
 def overlay_length(lines: DataFrame, zones: DataFrame, size: float) -> DataFrame:
     """Pairs with ``length``, the length of the line inside the closed zone; a run along a common border is in both."""
     pairs = candidates(lines, zones, size)
-    return pairs.withColumn("length", g.clipped_length(F.col("l_edges"), F.col("r_edges"))).where("length > 0")
+    return _positive(pairs, "length", g.clipped_length(F.col("l_edges"), F.col("r_edges")))
 
 
 def box_semi(left: DataFrame, right: DataFrame, size: float, key: str) -> DataFrame:

@@ -112,6 +112,15 @@ def test_projections(spark):
     assert row.n.x == pytest.approx(0, abs=1e-6) and row.n.y == pytest.approx(math.sqrt(2) * p.A)
 
 
+def test_lengths_and_areas_in_projections(spark):
+    assert p.estimate_utm(-90, 10, -84.5, 20) == "utm:16" and p.estimate_utm(-90, -20, -84.5, 10) == "utm:-16"
+    across = spark.createDataFrame([(1, shape([(-90.01, 15.0), (-89.99, 15.0)]))], f"fid long, rings {RINGS}")  # a zone's border
+    metres = spatial.with_box(across, crs="utm:16").select(g.length(F.col("edges"))).first()[0]
+    assert metres == pytest.approx(0.02 * 111320 * math.cos(math.radians(15)), rel=2e-3)
+    cell = spark.createDataFrame([(1, shape(square(-87, 15, 1)))], f"fid long, rings {RINGS}")
+    assert spatial.with_box(cell, crs="cea").select(g.area(F.col("edges"))).first()[0] == pytest.approx(1.1866e10, rel=5e-3)
+
+
 @pytest.mark.parametrize("size", [1.0, 3.0, 50.0])
 def test_join_does_not_depend_on_the_grid(spark, size):
     left = table(spark, [(i, shape(square(i * 1.5, (i * 7) % 11, 2))) for i in range(12)])
