@@ -3,7 +3,7 @@
 The base pass matches e-mail addresses, IPv4 addresses, payment cards and phone numbers on the text itself. The second
 pass runs a chain of transducers that rewrite homoglyphs, spelled digits and at/dot disguises; each keeps, for every
 character it writes, the source span it came from. Identifiers found in the rewritten text are mapped back, and those
-that overlap no base span are added. Texts without a sign that either pass needs are left after one scan of bytes.
+that no base span of their kind contains are added. Texts without a sign that either pass needs are left after one scan of bytes.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -213,13 +214,23 @@ def find_disguised(text: str) -> list[Span]:
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans, and the spans added: those overlapping no base span nor an earlier added one of its kind."""
+    """Base spans, and the spans added: those that no base span and no other added one of their kind contains. An added
+    span may overlap base spans, as when a disguise leaves a part of an address that matches by itself."""
     base = find_all(text)
+    disguised = find_disguised(text)
+    if not disguised:
+        return base, []
     added: list[Span] = []
-    for kind, a, b in find_disguised(text):
-        if not any(a < y and x < b for _, x, y in base) and not any(k == kind and a < y and x < b for k, x, y in added):
-            added.append((kind, a, b))
-    return base, added
+    for kind in KINDS:
+        own = [(a, b) for k, a, b in base if k == kind]  # in order and apart, as find_all gives them
+        starts = [a for a, _ in own]
+        done = -1
+        for _, a, b in sorted((s for s in disguised if s[0] == kind), key=lambda s: (s[1], -s[2])):
+            before = bisect_right(starts, a) - 1
+            if b > done and (before < 0 or own[before][1] < b):
+                added.append((kind, a, b))
+                done = b
+    return base, sorted(added, key=lambda s: (s[1], s[2]))
 
 
 def listed(found: list[Span]) -> str:

@@ -295,6 +295,23 @@ def test_redaction_keeps_the_rest(spark):
     assert got == {1: ("<EMAIL> and <EMAIL>, <IP>.", 26), 2: (None, None), 3: ("plain", 5)}
 
 
+@pytest.mark.parametrize("text, base, added", [
+    ("jоhn@example.com", [(2, 16)], [(0, 16)]),
+    ("аlexander.miller@host.com", [(1, 25)], [(0, 25)]),
+    ("john@mail.cоm", [(0, 11)], [(0, 13)]),
+    ("user@mail.example [dot] com", [(0, 17)], [(0, 27)]),
+    ("john@example.com – о", [(0, 16)], []),
+])
+def test_pii_partly_disguised(spark, text, base, added):
+    """A disguise that leaves a fragment which matches by itself: the fragment stays, the whole is added and redacted."""
+    assert pii.spans(text) == ([("email", *s) for s in base], [("email", *s) for s in added])
+    df = spark.createDataFrame([(1, f"to {text}, now")], "doc_id long, text string")
+    end = max(b for _, b in base + added)
+    assert pii.redact(df).collect()[0].text == f"to <EMAIL>{text[end:]}, now"
+    listed = pii.digests(df).collect()[0]
+    assert listed.n_email == len(base) and listed.spans == ",".join(f"email:{a + 3}:{b + 3}" for a, b in sorted(base + added))
+
+
 @pytest.mark.parametrize("loss", [90, 250, 256])
 def test_packing_limits(loss):
     rng = random.Random(9)
