@@ -384,6 +384,12 @@ def union_schema_drift(spark, d):
     return a.unionByName(relation(spark, d, "roads").where("osm_id < 200").select("osm_id", "highway"), allowMissingColumns=True)
 
 
+@query("SELECT osm_id, building, CAST(NULL AS VARCHAR) AS highway FROM buildings UNION ALL SELECT osm_id, NULL, highway FROM roads", "buildings", "roads")
+def union_schema_drift_whole(spark, d):
+    a = relation(spark, d, "buildings").select("osm_id", "building")
+    return a.unionByName(relation(spark, d, "roads").select("osm_id", "highway"), allowMissingColumns=True)
+
+
 @query("SELECT building, count(*) AS count FROM buildings WHERE building IS NOT NULL GROUP BY building ORDER BY count DESC, building LIMIT 5", "buildings")
 def top_types(spark, d):
     return reports.top(relation(spark, d, "buildings"), "building", 5)

@@ -40,6 +40,11 @@ def test_query(spark, duck, name):
     assert got == plain(want.fetchall(), [c[0] for c in want.description])
 
 
+def test_union_is_of_whole_tables(spark):
+    want = sum(spark.read.parquet(f"{DATA}/{t}.parquet").count() for t in ("customer", "orders"))
+    assert QUERIES["union_schema_drift_whole"](spark, DATA).count() == want
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
