@@ -13,6 +13,7 @@ it is under ``INDEX_BYTES``; a larger benchmark is gone through in chunks under
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,7 @@ from freshet.session import ensure_importable
 Q = 8
 #: Edits allowed, as a share of an item's characters; (k + 1) q stays under m with these.
 ERROR = 0.06
-#: Items of fewer characters are matched without edits.
+#: Items of fewer characters are matched without edits, where no letter or digit stands beside them.
 LEAST = 40
 INDEX_BYTES = 64 << 20
 SCHEMA = "doc_id long, item_id long, start long, end long, edits long"
@@ -152,6 +153,17 @@ def align(pattern: bytes, region: bytes, k: int) -> tuple[int, int, int] | None:
     return end - length, end, edits
 
 
+def _apart(raw: bytes, lo: int, hi: int, after: bool = False) -> bool:
+    """Whether no letter or digit ends (``after``: begins) ``raw[lo:hi]``, the text beside a short item."""
+    if lo >= hi:
+        return True
+    if after:
+        piece = raw[lo : min(hi, lo + 4)].decode("utf-8", "ignore")[:1]
+    else:
+        piece = raw[max(lo, hi - 4) : hi].decode("utf-8", "ignore")[-1:]
+    return not (piece.isalnum() or unicodedata.category(piece or " ")[0] == "M")
+
+
 def matches(index: Index, data: np.ndarray, offsets: np.ndarray):
     """(row, item place, start, end, edits) of items found, positions in bytes of the source; of an item's matches in a
     row, the best, then the earliest."""
@@ -165,8 +177,7 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray):
             while place >= 0:
                 row = int(np.searchsorted(at, place, "right")) - 1
                 end = place + len(pattern)
-                bounded = (place == at[row] or raw[place - 1] == 32) and (end == at[row + 1] or end < at[row + 1] and raw[end] == 32)
-                if end <= at[row + 1] and bounded and (row, k) not in found:
+                if end <= at[row + 1] and (row, k) not in found and _apart(raw, int(at[row]), place) and _apart(raw, end, int(at[row + 1]), True):
                     found[row, k] = (0, place, end)
                 place = raw.find(pattern, place + 1)
     g = grams(norm)
@@ -236,7 +247,8 @@ def find_contamination(
     """``doc_id, item_id, start, end, edits`` for every document that holds a benchmark item within its edit budget.
 
     Positions are code points of the document's own text; of several regions the one with fewest edits, then the
-    first. Budget: 6 % of an item's characters, none under 40. Null and empty texts and items match nothing;
+    first. Budget: 6 % of an item's characters, none under 40; such short items match where no letter or digit stands
+    beside them. Null and empty texts and items match nothing;
     repeated rows give repeated results; null ids are kept; an empty table gives an empty result; other columns are
     ignored.
     """

@@ -231,6 +231,17 @@ def test_banded_alignment_and_lemma():
                 assert found[0][4] == edits
 
 
+@pytest.mark.parametrize("text, found", [
+    ("(what is the capital of france?)", True), ("He asked: “What is the capital of France?”, then left", True), ("what  is the capital of france?, it said", True),
+    ("what is the capital of france?", True), ("xwhat is the capital of france?", False), ("éwhat is the capital of france?", False),
+    ("what is the capital of france?1", False), ("日what is the capital of france?", False), ("what is the capital of france?日", False), ("what was the capital of france?", False),
+])
+def test_short_items_between_other_signs(text, found):
+    index = decontamination.build([(5, "What is the capital of France?")])
+    data, offsets = tk.text_bytes(pa.array(["a what", text, "z"]))
+    assert [m[0] for m in decontamination.matches(index, data, offsets)] == [1] * found
+
+
 def test_contaminated_documents_are_found(spark, docs):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()}
 
