@@ -3,7 +3,7 @@
 The base pass matches e-mail addresses, IPv4 addresses, payment cards and phone numbers on the text itself. The second
 pass runs a chain of transducers that rewrite homoglyphs, spelled digits and at/dot disguises; each keeps, for every
 character it writes, the source span it came from. Identifiers found in the rewritten text are mapped back, and those
-that no base span of their kind contains are added. Texts without a sign that either pass needs are left after one scan of bytes.
+that no base span of their kind contains are added. Texts without a sign that either pass needs are left after a scan.
 """
 
 from __future__ import annotations
@@ -101,8 +101,14 @@ DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4",
     "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
 }
-#: Last labels that make a host of words joined by a plain "at" and "dot".
+#: Last labels that make a host of any words joined by a plain "at" and "dot". Other labels do, too, if no label of the
+#: host is one of ``FUNCTION_WORDS``, which stand beside an ordinary "at" and "dot".
 ENDINGS = frozenset("com org net edu gov mil int info biz io ai app dev co me tv us uk eu de fr es it nl be ch at pl pt se no fi dk ie ru ua cz gr tr in cn jp kr au nz ca mx br ar".split())
+FUNCTION_WORDS = frozenset(
+    "a an the this that these those my your his her its our their and or but if of on in at to for from by with as is are was were be been it he she we you they i not no so then than there here "
+    "der die das den dem des ein eine einen einem und oder aber von vom zu zum zur im am auf mit für ist sind war nicht le la les un une des du de et ou mais en dans sur avec pour par est sont "
+    "el los las una uno y o pero con por para que es son del al se".split()
+)
 _DIGIT_WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
 _DIGIT_ITEM = rf"(?:{_DIGIT_WORD}|[0-9])"
 _SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[ -])?{_DIGIT_ITEM}(?:[ -]{_DIGIT_ITEM}){{6,}}(?![A-Za-z0-9])", re.I)
@@ -113,8 +119,11 @@ _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = rf"(?:\s*{_OPEN}\s*(?:at|@)\s*{_CLOSE}\s*|\s+at\s+|\s*@\s*)"
 _DOT = rf"(?:\s*{_OPEN}\s*(?:dot|punkt|punto|point|\.)\s*{_CLOSE}\s*|\s+dot\s+|\s+\.\s+|\.)"
 _LABEL = r"[A-Za-z0-9-]+"
-#: An address in disguise: at least one of its joints written out.
-_DISGUISED = re.compile(rf"(?<![{_LOCAL}])[A-Za-z0-9_%+-]+(?:{_DOT}[A-Za-z0-9_%+-]+){{0,3}}?(?P<at>{_AT}){_LABEL}(?:{_DOT}{_LABEL}){{1,4}}", re.I)
+_HOST = re.compile(rf"{_LABEL}(?:{_DOT}{_LABEL})+", re.I)
+#: Joints without the blanks around them; a match never begins in a run of blanks.
+_ATS = re.compile(rf"{_OPEN}\s*(?:at|@)\s*{_CLOSE}|(?<=\s)at(?=\s)|@", re.I)
+_DOTS = re.compile(rf"{_OPEN}\s*(?:dot|punkt|punto|point|\.)\s*{_CLOSE}|(?<=\s)(?:dot|\.)(?=\s)|\.", re.I)
+_PART = _LOCAL_SET - {"."}
 _WORDED = re.compile(rf"{_OPEN}\s*(?:at|dot|punkt|punto|point|@|\.)\s*{_CLOSE}|\s(?:at|dot)\s", re.I)
 _JOINT = re.compile(rf"(?P<a>\s*{_OPEN}\s*(?:at|@)\s*{_CLOSE}\s*|\s+at\s+|\s*@\s*)|(?P<d>\s*{_OPEN}\s*(?:dot|punkt|punto|point|\.)\s*{_CLOSE}\s*|\s+dot\s+|\s+\.\s+)", re.I)
 
@@ -148,11 +157,13 @@ class Mapped:
         return int(self.start[a]), int(self.end[b - 1])
 
 
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+
+
 def fold_homoglyphs(m: Mapped) -> Mapped:
     edits = []
-    for i, c in enumerate(m.text):
-        if c < "\x80":
-            continue
+    for found in _NOT_ASCII.finditer(m.text):
+        i, c = found.start(), found[0]
         if c in INVISIBLE:
             edits.append((i, i + 1, ""))
         elif c in HOMOGLYPHS:
@@ -184,28 +195,81 @@ def join_digits(m: Mapped) -> Mapped:
     return m.replace(sorted(edits))
 
 
+def _with_blanks(text: str, a: int, b: int) -> tuple[int, int]:
+    while a and text[a - 1].isspace():
+        a -= 1
+    while b < len(text) and text[b].isspace():
+        b += 1
+    return a, b
+
+
+def _is_host(at: str, tail: str) -> bool:
+    """Whether labels joined by written-out dots are a host's after an ordinary "at" or "@". A full stop between blanks
+    may end a sentence, so it needs one of ``ENDINGS``, in small letters and no function word after "at"."""
+    if not re.search(rf"\s+dot\s+|\s+\.\s+|{_OPEN}", tail, re.I):
+        return False
+    cased = _JOINT.sub(".", tail).split(".")
+    joined = [x.lower() for x in cased]
+    last, plain = joined[-1], FUNCTION_WORDS.isdisjoint(joined)
+    if re.search(r"\s\.\s", tail):
+        return last in ENDINGS and ("@" in at or plain and cased[-1] == last)
+    return last in ENDINGS or len(last) > 1 and (last.isalpha() or last.startswith("xn--")) and plain
+
+
 def join_addresses(m: Mapped) -> Mapped:
-    edits = []
-    for found in _DISGUISED.finditer(m.text):
-        a, b = found.span()
-        if re.fullmatch(r"\s*@\s*", found["at"]) and not _WORDED.search(found[0]) and not re.search(r"\s", found["at"]):
+    """Addresses with at least one of their joints written out, from each "at" outwards: linear in the text."""
+    text, edits, done = m.text, [], 0
+    dots: dict[int, int] | None = None
+    for found in _ATS.finditer(text):
+        if found.start() < done:
+            continue
+        a, b = _with_blanks(text, *found.span())
+        host = _HOST.match(text, b)
+        if not host:
+            continue
+        if dots is None:
+            dots = {}
+            for dot in _DOTS.finditer(text):
+                x, y = dot.span() if dot[0] == "." and not (text[dot.start() - 1 : dot.start()].isspace() and text[dot.end() : dot.end() + 1].isspace()) else _with_blanks(text, *dot.span())
+                dots[y] = x
+        start, end = a, a
+        while end > done:
+            part = end
+            while part > done and text[part - 1] in _PART:
+                part -= 1
+            if part == end:
+                break
+            start, end = part, dots.get(part, 0)
+        if start == a:
             continue
-        tail = found[0][found.end("at") - a:]
-        if not re.search(_OPEN, found["at"]):  # an ordinary "at" or "@" before ordinary words, unless they end as a host does
-            if not re.search(rf"\s+dot\s+|\s+\.\s+|{_OPEN}", tail, re.I) or re.split(r"[^A-Za-z0-9-]+", tail)[-1].lower() not in ENDINGS:
-                continue
-        for joint in _JOINT.finditer(found[0]):
-            edits.append((a + joint.start(), a + joint.end(), "@" if joint["a"] else "."))
+        whole, at = text[start : host.end()], text[a:b]
+        if at == "@" and not _WORDED.search(whole):
+            continue
+        if not re.search(_OPEN, at) and not _is_host(at, host[0]):
+            continue
+        for joint in _JOINT.finditer(whole):
+            edits.append((start + joint.start(), start + joint.end(), "@" if joint["a"] else "."))
+        done = host.end()
     return m.replace(edits)
 
 
-#: Bytes of which a text needs one for the second pass to change anything; tested on whole batches.
-_SECOND_SIGN = re.compile(rf"[^\x00-˿‘-‟…]|[ ­]|{_OPEN}\s*(?:at|dot|@|\.|punkt|punto|point)\s*{_CLOSE}|\s(?:at|@)\s[^\n]{{0,80}}\sdot\s|@[^\n]{{0,80}}\s(?:dot|\.)\s|(?<![A-Za-z0-9]){_DIGIT_WORD}[ -](?:{_DIGIT_ITEM}[ -])+|(?:dot|point) (?:{_DIGIT_ITEM})", re.I)
+#: What a text needs for the second pass to change anything: a character that is rewritten (any above U+02FF but
+#: quotes and the ellipsis, and those below it that folding changes), a bracketed joint, digits spelled, or both of
+#: an "at" and a written-out dot, however far apart.
+_LOW = "".join(c for c in map(chr, range(0x80, 0x300)) if fold_homoglyphs(Mapped(c)).text != c)
+_REWRITTEN = re.compile(rf"[^\x00-\u02ff‘-‟…]|[{re.escape(_LOW)}]")
+_SECOND_SIGN = re.compile(rf"{_OPEN}\s*(?:at|@)\s*{_CLOSE}|(?<![A-Za-z0-9])(?:(?:{_DIGIT_WORD}|plus)[ -]{_DIGIT_ITEM}|[0-9][ -]{_DIGIT_WORD})|(?:dot|point) {_DIGIT_ITEM}", re.I)
+_AT_SIGN = re.compile(r"@|\sat\s", re.I)
+_DOT_SIGN = re.compile(rf"\s(?:dot|\.)\s|{_OPEN}\s*(?:dot|\.|punkt|punto|point)\s*{_CLOSE}", re.I)
+
+
+def signed(text: str) -> bool:
+    return bool(not text.isascii() and _REWRITTEN.search(text) or _SECOND_SIGN.search(text) or _AT_SIGN.search(text) and _DOT_SIGN.search(text))
 
 
 def find_disguised(text: str) -> list[Span]:
     """Spans, in the source, of identifiers that only the rewritten text shows."""
-    if not _SECOND_SIGN.search(text):
+    if not signed(text):
         return []
     m = join_addresses(join_digits(fold_homoglyphs(Mapped(text))))
     if m.text == text:
@@ -242,11 +306,10 @@ _MAYBE = np.zeros(256, dtype=np.int8)
 _MAYBE[[*b"@+0123456789[({<"]] = 1
 _MAYBE[0xC2] = 1
 _MAYBE[0xCC:0xF5] = 1
-_WORD_SIGN = re.compile(rf"(?<![A-Za-z0-9])(?:{_DIGIT_WORD}[ -]{_DIGIT_ITEM}|\S+\sdot\s)", re.I)
 
 
 def suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows that hold a byte some identifier, plain or disguised in other than whole words, needs."""
+    """Rows that hold a byte some identifier, plain or disguised in other than letters, needs."""
     total = np.concatenate(([0], np.cumsum(_MAYBE[data], dtype=np.int64)))
     return total[offsets[1:]] > total[offsets[:-1]]
 
@@ -256,7 +319,7 @@ def analyse(texts: pa.Array):
     for lo, hi, data, offsets in tk.slices(texts):
         maybe = suspects(data, offsets)
         for i, text in enumerate(texts.slice(lo, hi - lo).to_pylist()):
-            if text and (maybe[i] or _WORD_SIGN.search(text)):
+            if text and (maybe[i] or signed(text)):
                 yield spans(text)
             else:
                 yield [], []

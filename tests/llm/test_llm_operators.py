@@ -295,6 +295,30 @@ def test_pii_disguised(text, kind, span):
     assert base == [] and [(k, text[a:b]) for k, a, b in added] == [(kind, span)]
 
 
+LONG = " dot ".join(f"label{i}and{i}more" for i in range(12))
+
+
+@pytest.mark.parametrize("text, kind, span", [
+    ("to john.doe@maıl.com now", "email", "john.doe@maıl.com"),
+    (f"write bob at {LONG} dot com", "email", f"bob at {LONG} dot com"),
+    (f"write bob@{LONG} dot com", "email", f"bob@{LONG} dot com"),
+    ("a dot b dot c dot d dot e dot f (at) host dot org", "email", "a dot b dot c dot d dot e dot f (at) host dot org"),
+    ("mail jane at site dot xyz", "email", "jane at site dot xyz"),
+    ("mail jane at shop dot example dot online", "email", "jane at shop dot example dot online"),
+    ("mail jane at data . com", "email", "jane at data . com"),
+    ("ip nine point one point two point three", "ip", "nine point one point two point three"),
+])
+def test_pii_gate_and_labels(spark, text, kind, span):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [(k, text[a:b]) for k, a, b in pii.spans(text)[1]] == [(kind, span)]
+    assert pii.redact(df).collect()[0].text == text.replace(span, f"<{kind.upper()}>")
+
+
+@pytest.mark.parametrize("text", ["He lives at home . Alice left", "He was at home . It was late", "at work . No one", "seen at the point . us too", "at noon we saw a dot on the map"])
+def test_pii_leaves_sentences(text):
+    assert pii.spans(text) == ([], [])
+
+
 @pytest.mark.parametrize("text", ["we met at noon dot the end", "look at the dot on it", "He was at home. Dot com", "one two three four", "name at example.com", "the naïve «café» – ok…"])
 def test_pii_leaves_ordinary_text(text):
     assert pii.spans(text) == ([], [])
