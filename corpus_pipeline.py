@@ -6,7 +6,10 @@ one's docs. All but the last return the columns of ``docs``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from freshet.llm import decontamination, minhash, packing, pii, quality_rules
 from freshet.llm.storage import save
@@ -18,11 +21,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id. Rows that repeat an id are copies of one
-    document; rows without an id stand alone and stay."""
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One row of each group of near-duplicates, that of the smallest id, null ids last. Rows are linked by a key of
+    their own, so ids may repeat or be null: different texts stay, copies go. Rows without words are copies only if
+    both their id and their text are the same."""
+    key = f"_row_{uuid.uuid4().hex}"
+    keyed = save(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = minhash.near_duplicates(keyed, id_col=key).select(key, "n_shingles", "component_id")
+    rows = keyed.select(key, F.col("doc_id").alias("id"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha")).join(found, key)
+    blank = F.col("n_shingles") == 0
+    group = [F.when(~blank, F.col("component_id")).alias("a"), F.when(blank, F.col("id")).alias("b"), F.when(blank, F.col("text_sha")).alias("c"), blank.alias("d")]
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col(key).alias("row")))
+    kept = rows.groupBy(*group).agg(first.alias("first")).select(F.col("first.row").alias(key))
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

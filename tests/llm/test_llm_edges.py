@@ -115,3 +115,11 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
             out.collect()
     near = corpus_pipeline.near_duplicates(spark, odd, str(tmp_path)).collect()
     assert sorted(str(r.doc_id) for r in near) == ["0", "1", "2", "3", "4", "5", "6", "None"]
+
+
+def test_pipeline_near_duplicates_by_row(spark):
+    """Repeated ids with different texts survive, copies without an id collapse."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (1, a), (2, b), (None, c), (None, c), (None, a), (3, None), (3, None), (3, ""), (4, ""), (None, ""), (None, "")]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, a), (1, b), (None, c), (3, None), (3, ""), (4, ""), (None, "")]))
