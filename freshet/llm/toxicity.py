@@ -1,13 +1,15 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models, of toxic and of ordinary text, give each word a log-likelihood ratio. A word is generated from its first
-bytes: heads of 4, 6 and 8 bytes, each given the one before, and the word given the last. Each step discounts continuation counts (distinct
-preceding words, so that copies of a text count once) and gives the discounted mass to a backoff distribution that both
-classes share; a rare expression is thereby judged by its stem, and one that neither class knows by nothing.
-
-A document is scored by length-normalised ratios: over the whole text, and over its most toxic windows, since a long
-text with an abusive passage is abusive. A logistic curve, fitted on documents that the models have not seen, turns
-them into a probability.
+The context of a word is its class: toxic or ordinary. Counts are continuation counts, of the distinct words found before
+it in texts of the class, so that copies of a text count once. A discount D under 1 is taken from each, and the mass that
+this frees goes to one backoff distribution that both classes share, the Kneser-Ney one: a word's number of classes, over
+the sum of these. D is set for each class so that both free the same mass; a word that neither knows thus decides nothing,
+and one found once or twice decides little.
+
+A toxic text is an ordinary one with a share of toxic expressions, so its model draws a word from the toxic distribution
+with probability ``MIX`` and from the ordinary one otherwise. A document's log-likelihoods under both, their difference
+divided by its number of words to the power ``NORM``, are compared by a logistic curve with a positive slope, which is
+fitted on documents that the counts have not seen: the score rises with that difference and depends on nothing else.
 """
 
 from __future__ import annotations
@@ -25,172 +27,135 @@ from freshet.session import ensure_importable
 
 #: Bound of the sample that is fitted on the driver, for each class.
 PER_CLASS = 2500
-HEADS = (4, 6, 8)
-#: Taken from every count; expressions found once or twice are judged by the shared backoff alone.
-DISCOUNT = 2.5
-WINDOW = 24
-#: Words above this ratio are counted as toxic expressions.
-STRONG = 2.5
-
-
-def _heads(data: np.ndarray, w: tk.Words) -> list[np.ndarray]:
-    """Hashes of each word's heads, by the kernel's polynomial over at most that many bytes."""
-    out = []
-    for n in HEADS:
-        acc = np.full(len(w.starts), n, dtype=np.uint64)
-        for j in range(n):
-            at = w.starts + j
-            ok = at < w.ends
-            code = np.where(ok, tk._BYTE_CODE_LOWER[data[np.where(ok, at, 0)]], tk.U64(0))
-            acc += code * tk.U64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
-        out.append(tk.mix(acc))
-    return out
+#: Share of toxic expressions in a toxic text.
+MIX = 0.001
+FOLDS = 4
+#: Power of a text's words by which its log-likelihood difference is divided.
+NORM = 0.75
 
 
 @dataclass
-class Ratios:
-    """Sorted hashes with their log ratios: words, then heads from the longest to the shortest."""
-
-    keys: list[np.ndarray]
-    values: list[np.ndarray]
-
-    def of(self, data: np.ndarray, w: tk.Words) -> np.ndarray:
-        out = np.zeros(len(w.hashes))
-        left = np.arange(len(w.hashes))
-        for level, (keys, values) in enumerate(zip(self.keys, self.values)):
-            if not len(left) or not len(keys):
-                continue
-            if level == 0:
-                own = w.hashes
-            else:
-                sub = tk.Words(w.starts[left], w.ends[left], w.row, w.counts, w.hashes)
-                own = _heads(data, sub)[len(HEADS) - level]
-            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            hit = keys[at] == own
-            out[left[hit]] = values[at[hit]]
-            left = left[~hit]
-        return out
-
-
-def _step(child: np.ndarray, parent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log P_toxic(child | parent) - log P_ordinary(child | parent) for each distinct child. ``counts`` is (children,
-    2): continuation counts by class; the shared backoff is the pooled distribution under the parent."""
-    _, parent = np.unique(parent, return_inverse=True)
-    n = parent.max() + 1
-    pooled = counts.sum(axis=1)
-    shared = pooled / np.bincount(parent, weights=pooled, minlength=n)[parent]
-    logs = []
-    for c in (0, 1):
-        total = np.bincount(parent, weights=counts[:, c], minlength=n)
-        taken = np.bincount(parent, weights=np.minimum(counts[:, c], DISCOUNT), minlength=n)
-        # a parent unseen in a class backs off wholly
-        mass = np.where(total > 0, taken / np.maximum(total, 1), 1.0)
-        own = np.where(total[parent] > 0, np.maximum(counts[:, c] - DISCOUNT, 0) / np.maximum(total[parent], 1), 0.0)
-        logs.append(np.log(own + mass[parent] * shared))
-    return logs[1] - logs[0]
-
-
-def fit_ratios(texts: list[str], label: np.ndarray) -> Ratios:
-    """Counts both classes in ``texts`` and returns the ratio of every word and head seen in either."""
-    seen: list[list[np.ndarray]] = []
+class Models:
+    """Probabilities of the known words, by sorted hash, in ordinary and in toxic text; the last is of an unknown one."""
+
+    keys: np.ndarray
+    ordinary: np.ndarray
+    toxic: np.ndarray
+
+    def place(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(hashes), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, at, len(self.keys))
+
+    def differences(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Log-likelihood of each text under the toxic model minus that under the ordinary one, by length."""
+        w = tk.words(data, offsets)
+        at = self.place(w.hashes)
+        each = np.log1p(MIX * (self.toxic[at] / self.ordinary[at] - 1))
+        return np.bincount(w.row, weights=each, minlength=len(w.counts)) / np.maximum(w.counts, 1) ** NORM
+
+
+def discount(counts: np.ndarray) -> float:
+    """Ney's estimate from how many words have a count of one and of two."""
+    one, two = int((counts == 1).sum()), int((counts == 2).sum())
+    return one / (one + 2 * two) if one else 0.5
+
+
+def kneser_ney(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities (words + an unknown one, classes) from continuation counts (words, classes)."""
+    known = counts > 0
+    shared = np.append(known.sum(axis=1), 1.0)  # the unknown word counts as found in one class
+    shared /= shared.sum()
+    total, types = counts.sum(axis=0), known.sum(axis=0)
+    mass = min(discount(counts[:, c]) * types[c] / total[c] for c in range(counts.shape[1]))
+    taken = mass * total / types
+    own = np.where(known, counts - taken, 0) / total
+    return np.vstack([own, np.zeros(counts.shape[1])]) + mass * shared[:, None], taken
+
+
+def count(texts: list[str], label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted word hashes and their continuation counts (words, classes), slice by slice."""
+    pairs, words, classes = [], [], []
     for lo, hi, data, offsets in tk.slices(pa.array(texts, pa.string())):
         w = tk.words(data, offsets)
         if len(w.hashes):
             before = np.concatenate(([tk.U64(tk.START)], w.hashes[:-1]))
             before[np.concatenate(([True], w.row[1:] != w.row[:-1]))] = tk.U64(tk.START)
-            cls = label[lo:hi][w.row].astype(np.uint8)
-            pair = tk.mix(before * tk.U64(3) + w.hashes) ^ (cls * tk.U64(0xC2B2AE3D27D4EB4F))
-            _, once = np.unique(pair, return_index=True)
-            seen.append([x[once] for x in (pair, cls, *_heads(data, w), w.hashes)])
-    if not seen:
-        return Ratios([np.zeros(0, np.uint64)] * (len(HEADS) + 1), [np.zeros(0)] * (len(HEADS) + 1))
-    _, once = np.unique(np.concatenate([x.pop(0) for x in seen]), return_index=True)
-    cls = np.concatenate([x.pop(0) for x in seen])[once]
-    chain = (np.concatenate([x.pop(0) for x in seen])[once] for _ in range(len(HEADS) + 1))  # one level held at a time
-    parent, known, ratio = np.zeros(len(once), np.uint64), np.zeros(1, np.uint64), np.zeros(1)
-    keys, values = [], []
-    for own in chain:
-        distinct, first, inverse = np.unique(own, return_index=True, return_inverse=True)
-        counts = np.stack([np.bincount(inverse, weights=cls == c, minlength=len(distinct)) for c in (0, 1)], axis=1)
-        above = ratio[np.searchsorted(known, parent[first])]
-        parent, known, ratio = own, distinct, above + _step(distinct, parent[first], counts)
-        keys.append(known)
-        values.append(ratio)
-    return Ratios(keys[::-1], values[::-1])
-
-
-def features(ratios: Ratios, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Of each text: mean ratio, mean positive ratio, best window's mean ratio, log count and share of strong words."""
-    n = len(offsets) - 1
-    w = tk.words(data, offsets)
-    r = np.clip(ratios.of(data, w), -4, 6)
-    count = np.maximum(w.counts, 1)
-    total = np.concatenate(([0.0], np.cumsum(r)))
-    first = np.concatenate(([0], np.cumsum(w.counts)))
-    strong = np.bincount(w.row, weights=r > STRONG, minlength=n)
-    best = np.zeros(n)
-    if len(r):
-        at = np.arange(len(r))
-        stop = np.minimum(at + WINDOW, first[1:][w.row])
-        start = np.maximum(np.minimum(at, stop - WINDOW), first[:-1][w.row])
-        window = (total[stop] - total[start]) / WINDOW
-        some = np.flatnonzero(w.counts)
-        best[some] = np.maximum.reduceat(window, first[:-1][some])
-    return np.column_stack([
-        (total[first[1:]] - total[first[:-1]]) / count, np.bincount(w.row, weights=np.maximum(r, 0), minlength=n) / count,
-        best, np.log1p(strong), np.sqrt(strong / count),
-    ])
+            own = label[lo:hi][w.row].astype(np.uint8)
+            pair, once = np.unique(tk.mix(before * tk.U64(3) + w.hashes) ^ (own * tk.U64(0xC2B2AE3D27D4EB4F)), return_index=True)
+            pairs.append(pair)
+            words.append(w.hashes[once])
+            classes.append(own[once])
+    if not pairs:
+        return np.zeros(0, np.uint64), np.zeros((0, 2))
+    _, once = np.unique(np.concatenate(pairs), return_index=True)
+    keys, inverse = np.unique(np.concatenate(words)[once], return_inverse=True)
+    own = np.concatenate(classes)[once]
+    return keys, np.stack([np.bincount(inverse, weights=own == c, minlength=len(keys)) for c in (0, 1)], axis=1)
+
+
+def fit_models(texts: list[str], label: np.ndarray) -> Models:
+    """Both models; equal ones, which compare nothing, where a class has no word."""
+    keys, counts = count(texts, label)
+    if not len(keys) or not counts.sum(axis=0).all():
+        return Models(np.zeros(0, np.uint64), np.ones(1), np.ones(1))
+    p, _ = kneser_ney(counts)
+    return Models(keys, p[:, 0], p[:, 1])
 
 
 @dataclass
 class Model:
-    ratios: Ratios
-    mean: np.ndarray
-    scale: np.ndarray
-    weights: np.ndarray
+    models: Models
+    #: Intercept and slope.
+    curve: tuple[float, float]
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        z = np.clip((features(self.ratios, data, offsets) - self.mean) / self.scale, -8, 8)
-        raw = z @ self.weights[1:] + self.weights[0]
+        raw = self.curve[0] + self.curve[1] * self.models.differences(data, offsets)
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def _all_features(ratios: Ratios, texts: list[str]) -> np.ndarray:
-    parts = [features(ratios, d, o) for _, _, d, o in tk.slices(pa.array(texts, pa.string()))]
-    return np.concatenate(parts) if parts else np.zeros((0, 5))
-
-
-def fit(texts: list[str], label: np.ndarray, ridge: float = 1e-3, toxic_share: float | None = None) -> Model:
-    """Ratios from all rows; the curve on each half by ratios from the other. Without both classes every score is that
-    of no evidence."""
-    label = np.asarray(label)
-    if len(set(label.tolist())) < 2:
-        return Model(fit_ratios([], label), np.zeros(5), np.ones(5), np.array([-3.0, 0, 0, 0, 0, 0]))
-    half = np.arange(len(texts)) % 2
-    x = np.zeros((len(texts), 5))
-    for h in (0, 1):
-        here, other = np.flatnonzero(half == h), np.flatnonzero(half != h)
-        x[here] = _all_features(fit_ratios([texts[i] for i in other], label[other]), [texts[i] for i in here])
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale[scale < 1e-9] = 1
-    z = np.column_stack([np.ones(len(x)), np.clip((x - mean) / scale, -8, 8)])
-    share = label.mean() if toxic_share is None else toxic_share
-    weight = np.where(label == 1, share / max(label.mean(), 1e-9), (1 - share) / max(1 - label.mean(), 1e-9))
-    w = np.zeros(6)
-    penalty = ridge * np.eye(6)
-    penalty[0, 0] = 0
-    for _ in range(50):
+def fit_curve(x: np.ndarray, label: np.ndarray, weight: np.ndarray, ridge: float = 1e-6) -> tuple[float, float]:
+    """Logistic intercept and slope by Newton steps; the slope is at least 0."""
+    scale = max(float(x.std()), 1e-9)
+    z = np.column_stack([np.ones(len(x)), x / scale])
+    w, penalty = np.zeros(2), ridge * np.diag([0.0, 1.0])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         gradient = z.T @ (weight * (p - label)) / len(z) + penalty @ w
-        hessian = (z * (weight * p * (1 - p))[:, None]).T @ z / len(z) + penalty + 1e-9 * np.eye(6)
+        hessian = (z * (weight * p * (1 - p))[:, None]).T @ z / len(z) + penalty + 1e-9 * np.eye(2)
         step = np.linalg.solve(hessian, gradient)
         w -= step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-6:
             break
-    return Model(fit_ratios(texts, label), mean, scale, w)
+    return float(w[0]), max(0.0, float(w[1])) / scale
+
+
+def fit(texts: list[str], label: np.ndarray, toxic_share: float | None = None) -> Model:
+    """Models from all rows; the curve on each fold by models from the others. Without both classes every score is
+    that of no evidence."""
+    label = np.asarray(label)
+    if len(set(label.tolist())) < 2:
+        return Model(fit_models([], label), (-3.0, 0.0))
+    fold = np.empty(len(texts), dtype=int)
+    for c in (0, 1):  # folds have their share of both classes
+        at = np.flatnonzero(label == c)
+        fold[at] = np.arange(len(at)) % FOLDS
+    x = np.zeros(len(texts))
+    for f in range(FOLDS):
+        here, other = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+        models = fit_models([texts[i] for i in other], label[other])
+        for lo, hi, data, offsets in tk.slices(pa.array([texts[i] for i in here], pa.string())):
+            x[here[lo:hi]] = models.differences(data, offsets)
+    share = label.mean() if toxic_share is None else toxic_share
+    weight = np.where(label == 1, share / max(label.mean(), 1e-9), (1 - share) / max(1 - label.mean(), 1e-9))
+    return Model(fit_models(texts, label), fit_curve(x, label, weight))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS, fold=None) -> Model:
+    """A model fitted on the driver to at most ``per_class`` labelled rows of each class, those with the least id hashes.
+    Null texts count as empty; rows with a null id, or without a label of 0 or 1, are not learned from, and of rows that
+    repeat an id one is; without rows of both classes every text has one score; other columns are ignored."""
     fold = F.lit(True) if fold is None else fold
     rows = labelled.sample(docs, labels, label, per_class, fold, id_col, text_col)
     counts = {r[0]: r[1] for r in labels.where(F.col(label).isin(0, 1) & fold).groupBy(label).count().collect()}

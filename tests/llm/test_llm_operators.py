@@ -15,7 +15,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from freshet.llm import decontamination, language_model, minhash, packing, pii, quality_rules, token_files, tokens, url_filter
+from freshet.llm import decontamination, language_model, minhash, packing, pii, quality_classifier, quality_rules, token_files, tokens, toxicity, url_filter
 from freshet.llm import textkernel as tk
 from freshet.llm.queries import ORACLE_SQL, QUERIES
 
@@ -456,6 +456,49 @@ def test_classifiers_on_held_out_rows(spark):
     assert accuracy(spark, labels, "op10_toxicity", "toxic") > 0.85
 
 
+def test_kneser_ney_against_brute_force():
+    """Probabilities word by word from dictionaries, and the difference of two texts."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("a b c d e f g".split() + (["bad", "worse"] if k % 2 else [f"r{rng.randrange(40)}"])) for _ in range(rng.randint(0, 30))) for k in range(60)]
+    label = np.arange(60) % 2
+    seen = [set(), set()]
+    for text, c in zip(texts, label):
+        words = WORD.findall(text)
+        seen[c] |= set(zip(["^", *words], words))
+    counts = [collections.Counter(w for _, w in x) for x in seen]
+    known = sorted({*counts[0], *counts[1]})
+
+    def ney(c):
+        one, two = (sum(n == k for n in c.values()) for k in (1, 2))
+        return one / (one + 2 * two) if one else 0.5
+
+    mass = min(ney(c) * len(c) / sum(c.values()) for c in counts)
+    classes = {w: (w in counts[0]) + (w in counts[1]) for w in known}
+
+    def p(w, c):
+        d = mass * sum(counts[c].values()) / len(counts[c])
+        assert 0 < d < 1
+        own = max(counts[c][w] - d, 0) / sum(counts[c].values())
+        return own + mass * classes.get(w, 1) / (sum(classes.values()) + 1)
+
+    assert all(abs(sum(p(w, c) for w in [*known, "unknown"]) - 1) < 1e-9 for c in (0, 1))
+    models = toxicity.fit_models(texts, label)
+    probes = ["a bad b", "worse unknown r1 r2 g", "unknown", "", "r3 " * 50]
+    want = [sum(math.log(1 - toxicity.MIX + toxicity.MIX * p(w, 1) / p(w, 0)) for w in t.split()) / max(1, len(t.split())) ** toxicity.NORM for t in probes]
+    assert models.differences(*tk.text_bytes(pa.array(probes))).tolist() == pytest.approx(want)
+    assert want[2] == want[3] == 0 and want[0] > 0 > want[4]
+
+
+def test_toxicity_rises_with_the_difference(spark):
+    rows = [(i, ("you idiot " if i % 2 else "") + " ".join(random.Random(i).choices("the of and to in is".split(), k=30)), i % 2) for i in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    data, offsets = tk.text_bytes(pa.array([r[1] for r in rows]))
+    order = np.argsort(model.models.differences(data, offsets), kind="stable")
+    assert (np.diff(model.score(data, offsets)[order]) >= 0).all()
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.classify(docs, model).collect())
+
+
 def test_pipeline_against_brute_force(spark, docs):
     """The stages once more, document by document, from parts that are held against brute force above."""
     kept = {r.doc_id for r in quality_rules.judge(spark.read.parquet(f"{DATA}/documents.parquet")).collect() if r.kept}
