@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -361,6 +362,47 @@ def test_packing_limits(loss):
     assert {d: b"".join(x for _, x in sorted(v)) for d, v in got.items()} == {d: ids for d, ids, _ in docs}
 
 
+@pytest.mark.parametrize("segments", [1, 2, 16])
+def test_packing_prefixes(segments):
+    """A quarter of each document is context: documents of any length, under limits that all bind."""
+    rng = random.Random(13)
+    sizes = [rng.choice((1, 2, 5, 90, 300, 511, 512, 513, 2000, 9001)) for _ in range(300)]
+    docs = [(i, np.arange(n, dtype="<u4").tobytes(), max(1, n // 4)) for i, n in enumerate(sizes)]
+    got, full, tokens_left = collections.defaultdict(list), 0, 0
+    for s in packing.pack(iter(docs), length=512, segments=segments, loss=416, window=100):
+        assert 0 < sum(map(len, s)) <= 512 and len(s) <= segments and sum(p.loss for p in s) <= 416
+        assert sum(map(len, s)) & (sum(map(len, s)) - 1) == 0
+        full, tokens_left = full + (sum(map(len, s)) == 512), tokens_left + (sum(map(len, s)) < 512) * sum(map(len, s))
+        for p in s:
+            got[p.doc].append((p.start, p.ids))
+    assert {d: b"".join(x for _, x in sorted(v)) for d, v in got.items()} == {d: ids for d, ids, _ in docs}
+    if segments == 16:
+        assert tokens_left < 0.05 * sum(sizes)  # nearly all tokens are in full sequences
+
+
+def test_packing_work_is_bounded_under_a_tight_loss_limit():
+    """Sequences full of loss leave the window: as many documents take as long as under a limit that never binds."""
+    rng = random.Random(14)
+    docs = [(i, np.arange(rng.randint(100, 399), dtype="<u4").tobytes(), 1) for i in range(2000)]
+
+    def took(loss):
+        began, drawn, first = time.process_time(), 0, None
+
+        def counted():
+            nonlocal drawn
+            for d in docs:
+                drawn += 1
+                yield d
+
+        for s in packing.pack(counted(), length=1024, segments=256, loss=loss, window=64):
+            first = first or drawn
+            assert sum(p.loss for p in s) <= loss
+        return time.process_time() - began, first
+
+    (free, a), (tight, b) = took(1024), took(512)
+    assert tight < 3 * free + 0.5 and a <= 64 and b <= 64
+
+
 def test_packing_prompts(spark):
     df = spark.createDataFrame([(1, "a b c d e f", 4), (2, "a b c d e f", None), (3, "a b c d e f", -2)], "doc_id long, text string, prompt int")
     rows = packing.pack_documents(df, length=64, loss=2, prompt_col="prompt").orderBy("doc_id", "start").collect()
