@@ -406,8 +406,12 @@ def test_packing_work_is_bounded_under_a_tight_loss_limit():
 def test_packing_prompts(spark):
     df = spark.createDataFrame([(1, "a b c d e f", 4), (2, "a b c d e f", None), (3, "a b c d e f", -2)], "doc_id long, text string, prompt int")
     rows = packing.pack_documents(df, length=64, loss=2, prompt_col="prompt").orderBy("doc_id", "start").collect()
-    assert max(r.length for r in rows if r.doc_id == 1 and r.start == 0) == 6  # four quiet ones and two
-    assert max(r.length for r in rows if r.doc_id != 1) <= 3
+    bearing = collections.Counter()
+    for r in rows:
+        bearing[r.sequence_id] += sum(k >= (4 if r.doc_id == 1 else 1) for k in range(r.start, r.start + r.length))
+    assert max(bearing.values()) == 2 and sum(bearing.values()) == 3 + 6 + 6
+    half = packing.pack_documents(df, length=64, loss=2, prefix=0.5).collect()
+    assert sum(r.length for r in half) == 21
 
 
 def test_packing_query(spark, docs):
