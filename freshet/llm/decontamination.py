@@ -5,7 +5,8 @@ within k edits of a region shares at least m + 1 - (k + 1) q of its q-grams with
 most k. So for every document the places of q-grams that some item has are found, counted by item in overlapping
 diagonal bands of width 2(k + 1), and only bands that reach the bound are verified by banded alignment. Of an item's
 q-grams those that most other items share are left out of the index, up to two thirds of the bound, and the bound is
-lowered by as many: no match is lost, and common words make no hits.
+lowered by as many: no match is lost, and common words make no hits. Hits meet index entries in bounded parts, so that
+neither a text of one letter nor a phrase of many items takes memory that grows with their product.
 
 Items are few and short and documents are many and long, so the index of item q-grams is sent to every task as long as
 it is under ``INDEX_BYTES``; a larger benchmark is gone through in chunks under that size, with one pass each.
@@ -14,7 +15,9 @@ it is under ``INDEX_BYTES``; a larger benchmark is gone through in chunks under
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,31 +33,56 @@ ERROR = 0.06
 #: Items of fewer characters are matched without edits, where no letter or digit stands beside them.
 LEAST = 40
 INDEX_BYTES = 64 << 20
+#: Pairs of a hit and an index entry that are held at once.
+PAIRS = 500_000
 SCHEMA = "doc_id long, item_id long, start long, end long, edits long"
-_CODE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64) * tk.U64(2) + tk.U64(1)
 _FACTOR = [pow(0xD1342543DE82EF95, j + 1, 1 << 64) for j in range(Q)]
-
-
-def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes with each run of white space as one space and none at either end of a row; offsets; and the
-    source position of every byte kept."""
-    lower = tk._LOWER[data]
-    space = tk._IS_SPACE[data]
+#: Code points from here on have no lower case of one character.
+_CASED = 0x1F000
+
+
+@cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Lower case (where that is one character) and whether it is white space, by code point."""
+    lower = np.arange(_CASED, dtype=np.uint32)
+    space = np.zeros(_CASED, dtype=bool)
+    for c in range(_CASED):
+        small = chr(c).lower()
+        if len(small) == 1:
+            lower[c] = ord(small)
+        space[c] = chr(c).isspace() and c not in range(0x1C, 0x20)
+    return lower, space
+
+
+def letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of rows given as UTF-8, and row offsets in them; what is not UTF-8 becomes U+FFFD."""
+    raw = data.tobytes()
+    try:
+        points = np.frombuffer(raw.decode().encode("utf-32-le"), dtype=np.uint32)
+        return points, np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offsets]
+    except UnicodeDecodeError:
+        rows = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
+        return np.frombuffer("".join(rows).encode("utf-32-le"), dtype=np.uint32), np.concatenate(([0], np.cumsum([len(r) for r in rows])))
+
+
+def normalise(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased code points with each run of white space as one space and none at either end of a row; offsets; and
+    the source position of every one kept."""
+    table, blank = _tables()
+    low = np.minimum(points, _CASED - 1)
+    lower = np.where(points < _CASED, table[low], points)
+    space = blank[low]
     lower[space] = 32
-    n = len(offsets) - 1
-    follows = np.zeros(len(data), dtype=bool)
+    follows = np.zeros(len(points), dtype=bool)
     follows[1:] = space[:-1]
-    first = np.zeros(len(data) + 1, dtype=bool)
+    first = np.zeros(len(points) + 1, dtype=bool)
     first[offsets[:-1]] = True
-    first = first[:-1]
-    keep = ~(space & (follows | first))
-    keep |= ~space
+    keep = ~(space & (follows | first[:-1]))
     # a space at a row's end
     last = offsets[1:][np.diff(offsets) > 0] - 1
-    ends_in_space = last[space[last]]
-    if len(ends_in_space):
-        run = ends_in_space
-        word = np.where(space, -1, np.arange(len(data)))
+    run = last[space[last]]
+    if len(run):
+        word = np.where(space, -1, np.arange(len(points)))
         start = np.maximum.accumulate(word)[run] + 1
         row = np.searchsorted(offsets, run, "right") - 1
         keep[np.maximum(start, offsets[row])] = False
@@ -62,13 +90,14 @@ def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return lower[keep], total[offsets], np.flatnonzero(keep)
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """Hash of the q bytes from each place on; the last q - 1 places have none."""
-    n = len(data) - Q + 1
+def grams(points: np.ndarray) -> np.ndarray:
+    """Hash of the q code points from each place on; the last q - 1 places have none."""
+    n = len(points) - Q + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
     acc = np.zeros(n, dtype=np.uint64)
-    code = _CODE[data]
+    code = points.astype(np.uint64) * tk.U64(0x9E3779B97F4A7C15)
+    code ^= code >> tk.U64(32)
     for j in range(Q):
         acc += code[j : j + n] * tk.U64(_FACTOR[j])
     return acc ^ (acc >> tk.U64(29))
@@ -80,36 +109,43 @@ def budget(m: int) -> int:
 
 @dataclass
 class Index:
-    """Items by place in ``ids``; their q-grams sorted, with item and position; a bit filter over gram hashes."""
+    """Distinct item texts with the ids that have them; their q-grams sorted, then by text, with position; a bit filter
+    over gram hashes; and for each text its length, edit budget and least number of grams."""
 
-    ids: list[int]
-    texts: list[bytes]
+    ids: list[list[int]]
+    texts: list[np.ndarray]
     keys: np.ndarray
     item: np.ndarray
     place: np.ndarray
     bits: np.ndarray
     need: np.ndarray
+    lengths: np.ndarray
+    budgets: np.ndarray
 
 
 def build(items: list[tuple[int, str]]) -> Index:
     """Empty items are left out."""
+    known: dict[bytes, int] = {}
     ids, texts, keys, item, place = [], [], [], [], []
     for i, text in items:
-        data, offsets = tk.text_bytes(pa.array([text], pa.string()))
-        norm, _, _ = normalise(data, offsets)
+        norm, _, _ = normalise(*letters(*tk.text_bytes(pa.array([text], pa.string()))))
         if not len(norm):
             continue
-        ids.append(i)
-        texts.append(norm.tobytes())
-        g = grams(norm)
+        at = known.setdefault(norm.tobytes(), len(texts))
+        if at < len(texts):
+            ids[at].append(i)
+            continue
+        ids.append([i])
+        texts.append(norm)
+        g = grams(norm) if len(norm) >= LEAST else np.zeros(0, np.uint64)
         keys.append(g)
-        item.append(np.full(len(g), len(ids) - 1))
+        item.append(np.full(len(g), at))
         place.append(np.arange(len(g)))
-    if not ids:
-        return Index([], [], np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int), np.zeros(1 << 22, bool), np.zeros(0, int))
-    keys, item, place = np.concatenate(keys), np.concatenate(item), np.concatenate(place)
-    lengths = np.array([len(t) for t in texts])
-    need = np.maximum(1, lengths + 1 - (np.array([budget(m) for m in lengths]) + 1) * Q)
+    none = np.zeros(0, dtype=np.int64)
+    keys, item, place = np.concatenate([none.astype(np.uint64), *keys]), np.concatenate([none, *item]), np.concatenate([none, *place])
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    budgets = np.array([budget(m) for m in lengths.tolist()], dtype=np.int64)
+    need = np.maximum(1, lengths + 1 - (budgets + 1) * Q)
     spare = need - np.maximum(1, need // 3)
     _, inverse, often = np.unique(keys, return_inverse=True, return_counts=True)
     order = np.lexsort((-often[inverse], item))
@@ -121,12 +157,12 @@ def build(items: list[tuple[int, str]]) -> Index:
     order = np.argsort(keys, kind="stable")
     bits = np.zeros(1 << 22, dtype=bool)
     bits[(keys >> tk.U64(42)).astype(np.int64)] = True
-    return Index(ids, texts, keys[order], item[order], place[order], bits, need)
+    return Index(ids, texts, keys[order], item[order], place[order], bits, need, lengths, budgets)
 
 
-def align(pattern: bytes, region: bytes, k: int) -> tuple[int, int, int] | None:
-    """Start, end and edits of the best match of the whole pattern anywhere in the region, if within k edits: ties go
-    to the earliest end. Two runs of a last-row recurrence, forward for the end and backward for the start."""
+def align(p: np.ndarray, t: np.ndarray, k: int) -> tuple[int, int, int] | None:
+    """Start, end and edits of the best match of the whole pattern ``p`` anywhere in the region ``t``, if within k edits:
+    ties go to the earliest end. Two runs of a last-row recurrence, forward for the end and backward for the start."""
 
     def ends(p: np.ndarray, t: np.ndarray, free: bool) -> np.ndarray:
         m = len(p)
@@ -142,7 +178,6 @@ def align(pattern: bytes, region: bytes, k: int) -> tuple[int, int, int] | None:
             last[j + 1] = column[m]
         return last
 
-    p, t = np.frombuffer(pattern, dtype=np.uint8), np.frombuffer(region, dtype=np.uint8)
     found = ends(p, t, True)
     end = int(np.argmin(found))
     edits = int(found[end])
@@ -153,77 +188,123 @@ def align(pattern: bytes, region: bytes, k: int) -> tuple[int, int, int] | None:
     return end - length, end, edits
 
 
-def _apart(raw: bytes, lo: int, hi: int, after: bool = False) -> bool:
-    """Whether no letter or digit ends (``after``: begins) ``raw[lo:hi]``, the text beside a short item."""
-    if lo >= hi:
-        return True
-    if after:
-        piece = raw[lo : min(hi, lo + 4)].decode("utf-8", "ignore")[:1]
-    else:
-        piece = raw[max(lo, hi - 4) : hi].decode("utf-8", "ignore")[-1:]
-    return not (piece.isalnum() or unicodedata.category(piece or " ")[0] == "M")
-
-
-def matches(index: Index, data: np.ndarray, offsets: np.ndarray):
-    """(row, item place, start, end, edits) of items found, positions in bytes of the source; of an item's matches in a
-    row, the best, then the earliest."""
-    norm, at, source = normalise(data, offsets)
-    found: dict[tuple[int, int], tuple[int, int, int]] = {}
-    exact = [k for k, t in enumerate(index.texts) if len(t) < LEAST or len(t) < Q]
-    if exact:
-        raw = norm.tobytes()
-        for k in exact:
-            pattern, place = index.texts[k], raw.find(index.texts[k])
+def _apart(beside: str) -> bool:
+    """Whether a short item may stand beside this character, or none: no letter, digit or combining mark."""
+    return not beside or not (beside.isalnum() or unicodedata.category(beside)[0] == "M")
+
+
+class Search:
+    """The items found in a slice of rows: by row and item text, edits, start and end in its code points."""
+
+    def __init__(self, index: Index, norm: np.ndarray, at: np.ndarray):
+        self.index, self.norm, self.at = index, norm, at
+        self.found: dict[tuple[int, int], tuple[int, int, int]] = {}
+        self.exact: set[int] = set()  # row * items + item of those found without an edit
+
+    def short(self) -> None:
+        which = [k for k, t in enumerate(self.index.texts) if len(t) < LEAST]
+        if not which:
+            return
+        text = self.norm.tobytes().decode("utf-32-le", "replace")
+        for k in which:
+            pattern = self.index.texts[k].tobytes().decode("utf-32-le", "replace")
+            place = text.find(pattern)
             while place >= 0:
-                row = int(np.searchsorted(at, place, "right")) - 1
-                end = place + len(pattern)
-                if end <= at[row + 1] and (row, k) not in found and _apart(raw, int(at[row]), place) and _apart(raw, end, int(at[row + 1]), True):
-                    found[row, k] = (0, place, end)
-                place = raw.find(pattern, place + 1)
-    g = grams(norm)
-    hit = np.flatnonzero(index.bits[(g >> tk.U64(42)).astype(np.int64)]) if len(g) else np.zeros(0, int)
-    row = np.searchsorted(at, hit, "right") - 1
-    inside = hit + Q <= at[row + 1] if len(hit) else np.zeros(0, bool)
-    hit, row = hit[inside], row[inside]
-    lo, hi = np.searchsorted(index.keys, g[hit], "left"), np.searchsorted(index.keys, g[hit], "right")
-    some = hi > lo
-    hit, row, lo, hi = hit[some], row[some], lo[some], hi[some]
-    if len(hit):
-        # an item's grams in a row: (row, item) groups, then bands of diagonals
-        reps = hi - lo
+                row, end = int(np.searchsorted(self.at, place, "right")) - 1, place + len(pattern)
+                lo, hi = int(self.at[row]), int(self.at[row + 1])
+                if end <= hi and (row, k) not in self.found and _apart(text[max(lo, place - 1) : place]) and _apart(text[end : min(hi, end + 1)]):
+                    self.found[row, k] = (0, place, end)
+                place = text.find(pattern, place + 1)
+
+    def near(self) -> None:
+        index = self.index
+        g = grams(self.norm)
+        if not len(g) or not len(index.keys):
+            return
+        hit = np.flatnonzero(index.bits[(g >> tk.U64(42)).astype(np.int64)])
+        row = np.searchsorted(self.at, hit, "right") - 1
+        inside = hit + Q <= self.at[row + 1]
+        hit, row = hit[inside], row[inside]
+        lo, hi = np.searchsorted(index.keys, g[hit], "left"), np.searchsorted(index.keys, g[hit], "right")
+        some = hi > lo
+        self.reach = int(2 * index.lengths.max())  # of a region within the budget, and more
+        self._count(hit[some], row[some], lo[some], hi[some], 0, len(index.texts))
+
+    def _count(self, hit: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray, first: int, last: int) -> None:
+        """Counts hits in parts of at most ``PAIRS`` hit-entry pairs: by row, then by stretches of a row that overlap by
+        more than any match spans, then by item. A stretch of that size and one item are as small as parts get."""
+        pairs = int((hi - lo).sum())
+        if not pairs:
+            return
+        if pairs > PAIRS and row[0] != row[-1]:
+            middle = row[int(np.searchsorted(np.cumsum(hi - lo), pairs / 2))]
+            cut = int(np.searchsorted(row, middle, "left")) or int(np.searchsorted(row, middle, "right"))
+            for part in (slice(cut), slice(cut, None)):
+                self._count(hit[part], row[part], lo[part], hi[part], first, last)
+        elif pairs > PAIRS and hit[-1] - hit[0] > 4 * self.reach:
+            middle = (int(hit[0]) + int(hit[-1])) // 2
+            for part in (hit <= middle + self.reach, hit >= middle):
+                self._count(hit[part], row[part], lo[part], hi[part], first, last)
+        elif pairs > PAIRS and last - first > 1:
+            middle = (first + last) // 2
+            rank = np.concatenate(([0], np.cumsum(self.index.keys[1:] != self.index.keys[:-1])))
+            split = np.searchsorted(rank * len(self.index.texts) + self.index.item, rank[lo] * len(self.index.texts) + middle)
+            split = np.clip(split, lo, hi)
+            self._count(hit, row, lo, split, first, middle)
+            self._count(hit, row, split, hi, middle, last)
+        else:
+            self._verify(hit, row, hi - lo, lo)
+
+    def _verify(self, hit: np.ndarray, row: np.ndarray, reps: np.ndarray, lo: np.ndarray) -> None:
+        index = self.index
         entry = np.repeat(lo - (np.cumsum(reps) - reps), reps) + np.arange(reps.sum())
-        row, place = np.repeat(row, reps), np.repeat(hit, reps)
-        item, diagonal = index.item[entry], place - index.place[entry]
-        lengths = np.array([len(t) for t in index.texts])
-        budgets = np.array([budget(m) for m in lengths])
-        need = index.need
-        width = budgets[item] + 1
+        row, place, item = np.repeat(row, reps), np.repeat(hit, reps), index.item[entry]
+        if self.exact:
+            open_ = ~np.isin(row * len(index.texts) + item, list(self.exact))
+            entry, row, place, item = entry[open_], row[open_], place[open_], item[open_]
+            if not len(entry):
+                return
+        own = index.place[entry]
+        diagonal = place - own
+        width = index.budgets[item] + 1
         for shift in (0, 1):  # bands of 2(k + 1) diagonals that overlap by half
-            band = (diagonal - at[row] + lengths[item] + shift * width) // (2 * width)
+            band = (diagonal - self.at[row] + index.lengths[item] + shift * width) // (2 * width)
             order = np.lexsort((place, band, item, row))
-            r, i, b, d, e = row[order], item[order], band[order], diagonal[order], index.place[entry][order]
+            r, i, b, d, e = row[order], item[order], band[order], diagonal[order], own[order]
             new = np.concatenate(([True], (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])))
-            first = np.flatnonzero(new)
-            stop = np.append(first[1:], len(r))
-            enough = np.flatnonzero(stop - first >= need[i[first]])
-            for f, s in zip(first[enough].tolist(), stop[enough].tolist()):
+            start = np.flatnonzero(new)
+            stop = np.append(start[1:], len(r))
+            enough = np.flatnonzero(stop - start >= index.need[i[start]])
+            for f, s in zip(start[enough].tolist(), stop[enough].tolist()):
                 who, where = int(i[f]), int(r[f])
-                if len(index.texts[who]) < LEAST or len(np.unique(e[f:s])) < need[who]:
-                    continue
-                have = found.get((where, who))
-                if have and have[0] == 0:
+                have = self.found.get((where, who))
+                if have and have[0] == 0 or len(np.unique(e[f:s])) < index.need[who]:
                     continue
-                k = int(budgets[who])
+                k = int(index.budgets[who])
                 # copies of the item can follow one another in a band only if it is wider than the item
-                begin = max(int(at[where]), int(d[f:s].min()) - k)
-                end = min(int(at[where + 1]), int(d[f:s].max()) + int(lengths[who]) + k)
-                got = align(index.texts[who], norm[begin:end].tobytes(), k)
+                begin = max(int(self.at[where]), int(d[f:s].min()) - k)
+                end = min(int(self.at[where + 1]), int(d[f:s].max()) + int(index.lengths[who]) + k)
+                got = align(index.texts[who], self.norm[begin:end], k)
                 if got:
                     now = (got[2], begin + got[0], begin + got[1])
                     if have is None or now < have:
-                        found[where, who] = now
-    for (where, who), (edits, a, b) in sorted(found.items()):
-        yield where, who, int(source[a]), int(source[b - 1]) + 1, edits
+                        self.found[where, who] = now
+                    if not got[2]:
+                        self.exact.add(where * len(index.texts) + who)
+
+
+def matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, item text, start, end, edits) of items found, positions in code points of the row; of an item's matches in
+    a row, the best, then the earliest."""
+    if not len(index.texts) or not len(data):
+        return
+    points, rows = letters(data, offsets)
+    norm, at, source = normalise(points, rows)
+    search = Search(index, norm, at)
+    search.short()
+    search.near()
+    for (where, who), (edits, a, b) in sorted(search.found.items()):
+        yield where, who, int(source[a] - rows[where]), int(source[b - 1] + 1 - rows[where]), edits
 
 
 def _chunks(benchmark: DataFrame, item_col: str, text_col: str):
@@ -248,7 +329,7 @@ def find_contamination(
 
     Positions are code points of the document's own text; of several regions the one with fewest edits, then the
     first. Budget: 6 % of an item's characters, none under 40; such short items match where no letter or digit stands
-    beside them. Null and empty texts and items match nothing;
+    beside them. Upper and lower case are the same in every script. Null and empty texts and items match nothing;
     repeated rows give repeated results; null ids are kept; an empty table gives an empty result; other columns are
     ignored.
     """
@@ -264,10 +345,8 @@ def find_contamination(
                 ids = batch.column(0).to_pylist()
                 rows = []
                 for lo, _, data, offsets in tk.slices(batch.column(1)):
-                    letter = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
                     for where, who, a, b, edits in matches(own, data, offsets):
-                        zero = letter[offsets[where]]
-                        rows.append((ids[lo + where], own.ids[who], int(letter[a] - zero), int(letter[b] - zero), edits))
+                        rows += [(ids[lo + where], item, a, b, edits) for item in own.ids[who]]
                 columns = zip(*rows) if rows else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "start", "end", "edits"])
 
@@ -277,7 +356,9 @@ def find_contamination(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item within its edit budget, with all their columns."""
+    """The rows of ``docs`` whose text holds no benchmark item within its edit budget, with all their columns, whatever
+    these are called. Null and empty texts hold nothing and stay, as do repeated rows; an empty table stays empty, and
+    without items all rows stay."""
     spark = ensure_importable(docs.sparkSession)
     at = docs.schema.fieldNames().index(text_col)
     for index in _chunks(benchmark, item_col, item_text_col):

@@ -226,12 +226,64 @@ def test_banded_alignment_and_lemma():
             plain = " ".join(doc.split())
             edits = align_brute(text, plain)
             k = decontamination.budget(len(text))
-            found = [m for m in decontamination.matches(index, data, offsets) if index.ids[m[1]] == i]
+            found = [m for m in decontamination.matches(index, data, offsets) if i in index.ids[m[1]]]
             assert bool(found) == (edits <= k), (i, share, edits, k)
             if found:
                 assert found[0][4] == edits
 
 
+def substrings_within(pattern, text, k):
+    """Whether some region of the text is within k edits of the whole pattern."""
+    return align_brute(pattern, text) <= k
+
+
+def test_decontamination_counts_characters():
+    """Two-byte letters are one edit each, and capitals of every script are folded."""
+    rng = random.Random(15)
+    alphabet = "абвгдежзиклмнопрстуфхцчшàéèêçñöüß"
+    for _ in range(40):
+        item = " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(2, 8))) for _ in range(12))
+        index = decontamination.build([(1, item), (2, item.upper() if len(item.upper()) == len(item) else item)])
+        for edits in range(decontamination.budget(len(item)) + 3):
+            s = list(item)
+            for at in rng.sample(range(len(s)), edits):
+                s[at] = "ы"
+            doc = f"Начало {''.join(s).upper() if len(''.join(s).upper()) == len(s) else ''.join(s)} конец"
+            low = " ".join("".join(c.lower() if len(c.lower()) == 1 else c for c in doc).split())
+            want = substrings_within(item, low, decontamination.budget(len(item)))
+            got = list(decontamination.matches(index, *tk.text_bytes(pa.array([doc]))))
+            assert bool(got) == want and want == (edits <= decontamination.budget(len(item)))
+            assert all(index.ids[m[1]] == [1, 2] and (m[2], m[3]) == (7, 7 + len(s)) for m in got if m[4] == 0)
+
+
+def test_decontamination_of_repetitive_texts(monkeypatch):
+    """Texts of one letter, of few letters, and phrases of many items, against brute force, in parts of every kind."""
+    rng = random.Random(16)
+    shared = "this phrase stands at the head of every item "
+    items = [(i, shared + "".join(rng.choice("abc ") for _ in range(60))) for i in range(30)] + [(50, "a" * 90), (51, "ab" * 40), (52, "a" * 60 + "b" * 8)]
+    texts = [shared * 40 + items[3][1] + " " + shared * 9, "a" * 3000, "a" * 59 + "c" + "a" * 80, "ab" * 700 + "a" * 58 + "b" * 9, "", None, "b" * 2000, "".join(rng.choice("ab") for _ in range(2500))]
+    index = decontamination.build(items)
+    plain = [" ".join((t or "").split()) for t in texts]
+    want = {(r, i) for r, t in enumerate(plain) for i, x in items if t and substrings_within(" ".join(x.split()), t, decontamination.budget(len(" ".join(x.split()))))}
+    for pairs in (100, 5000, 10**9):
+        monkeypatch.setattr(decontamination, "PAIRS", pairs)
+        got = {(m[0], i) for m in decontamination.matches(index, *tk.text_bytes(pa.array(texts))) for i in index.ids[m[1]]}
+        assert got == want
+
+
+def test_decontamination_memory_is_bounded():
+    """A text of 400,000 equal letters and an item of such letters: memory stays far under their product."""
+    import tracemalloc
+
+    index = decontamination.build([(1, "x" * 400)])
+    data, offsets = tk.text_bytes(pa.array(["x" * 400_000]))
+    tracemalloc.start()
+    got = list(decontamination.matches(index, data, offsets))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [m[4] for m in got] == [0] and peak < 500 << 20
+
+
 @pytest.mark.parametrize("text, found", [
     ("(what is the capital of france?)", True), ("He asked: “What is the capital of France?”, then left", True), ("what  is the capital of france?, it said", True),
     ("what is the capital of france?", True), ("xwhat is the capital of france?", False), ("éwhat is the capital of france?", False),
@@ -251,6 +303,10 @@ def test_contaminated_documents_are_found(spark, docs):
 
     got = {(r.doc_id, r.item_id) for r in QUERIES["op3_decontamination"](spark, DATA).collect()}
     assert got >= {(d, i) for d, t in docs.items() for i, x in items.items() if norm(x) in norm(t)}
+    assert got  # and nothing that brute force does not find
+    for d, i in got:
+        whole, item = " ".join(docs[d].lower().split()), " ".join(items[i].lower().split())
+        assert substrings_within(item, whole, decontamination.budget(len(item)))
 
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
