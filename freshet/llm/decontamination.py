@@ -15,6 +15,7 @@ it is under ``INDEX_BYTES``; a larger benchmark is gone through in chunks under
 from __future__ import annotations
 
 import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -36,7 +37,7 @@ INDEX_BYTES = 64 << 20
 #: Pairs of a hit and an index entry that are held at once.
 PAIRS = 500_000
 SCHEMA = "doc_id long, item_id long, start long, end long, edits long"
-_FACTOR = [pow(0xD1342543DE82EF95, j + 1, 1 << 64) for j in range(Q)]
+_HALVES = [(1 << j, pow(0xD1342543DE82EF95, j + 1, 1 << 64)) for j in range(Q.bit_length() - 1)]
 #: Code points from here on have no lower case of one character.
 _CASED = 0x1F000
 
@@ -91,15 +92,14 @@ def normalise(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def grams(points: np.ndarray) -> np.ndarray:
-    """Hash of the q code points from each place on; the last q - 1 places have none."""
-    n = len(points) - Q + 1
-    if n <= 0:
+    """Hash of the q code points from each place on, put together from those of their halves; the last q - 1 places have
+    none."""
+    if len(points) < Q:
         return np.zeros(0, dtype=np.uint64)
-    acc = np.zeros(n, dtype=np.uint64)
-    code = points.astype(np.uint64) * tk.U64(0x9E3779B97F4A7C15)
-    code ^= code >> tk.U64(32)
-    for j in range(Q):
-        acc += code[j : j + n] * tk.U64(_FACTOR[j])
+    acc = points.astype(np.uint64) * tk.U64(0x9E3779B97F4A7C15)
+    acc ^= acc >> tk.U64(32)
+    for half, factor in _HALVES:
+        acc = acc[:-half] * tk.U64(factor) + acc[half:]
     return acc ^ (acc >> tk.U64(29))
 
 
@@ -160,32 +160,40 @@ def build(items: list[tuple[int, str]]) -> Index:
     return Index(ids, texts, keys[order], item[order], place[order], bits, need, lengths, budgets)
 
 
+def _distances(pattern: list[int], text: list[int], anywhere: bool) -> list[int]:
+    """Edits between the whole pattern and the text up to each place, from its start or (``anywhere``) from the best
+    place before: columns of the alignment as bits of two integers."""
+    m = len(pattern)
+    full, high = (1 << m) - 1, 1 << (m - 1)
+    same: dict[int, int] = {}
+    for i, c in enumerate(pattern):
+        same[c] = same.get(c, 0) | 1 << i
+    up, down, score = full, 0, m
+    out = [m]
+    top = 0 if anywhere else 1
+    for c in text:
+        eq = same.get(c, 0)
+        x = eq | down
+        h = (((eq & up) + up) ^ up) | eq
+        rise, fall = down | (full & ~(h | up)), up & h
+        score += bool(rise & high) - bool(fall & high)
+        rise = rise << 1 | top
+        up, down = full & (fall << 1 | ~(x | rise)), rise & x & full
+        out.append(score)
+    return out
+
+
 def align(p: np.ndarray, t: np.ndarray, k: int) -> tuple[int, int, int] | None:
     """Start, end and edits of the best match of the whole pattern ``p`` anywhere in the region ``t``, if within k edits:
-    ties go to the earliest end. Two runs of a last-row recurrence, forward for the end and backward for the start."""
-
-    def ends(p: np.ndarray, t: np.ndarray, free: bool) -> np.ndarray:
-        m = len(p)
-        column = np.arange(m + 1)
-        steps = np.arange(m + 1)
-        last = np.empty(len(t) + 1, dtype=np.int64)
-        last[0] = m
-        for j, c in enumerate(t):
-            fresh = np.empty(m + 1, dtype=np.int64)
-            fresh[0] = 0 if free else j + 1
-            np.minimum(column[:-1] + (p != c), column[1:] + 1, out=fresh[1:])
-            column = np.minimum.accumulate(fresh - steps) + steps
-            last[j + 1] = column[m]
-        return last
-
-    found = ends(p, t, True)
-    end = int(np.argmin(found))
-    edits = int(found[end])
+    ties go to the earliest end, then to the latest start."""
+    pattern, text = p.tolist(), t.tolist()
+    found = _distances(pattern, text, True)
+    edits = min(found)
     if edits > k:
         return None
-    back = ends(p[::-1], t[max(0, end - len(p) - k) : end][::-1], False)
-    length = int(np.flatnonzero(back == edits)[0])
-    return end - length, end, edits
+    end = found.index(edits)
+    back = _distances(pattern[::-1], text[max(0, end - len(pattern) - k) : end][::-1], False)
+    return end - back.index(edits), end, edits
 
 
 def _apart(beside: str) -> bool:
@@ -267,6 +275,7 @@ class Search:
         own = index.place[entry]
         diagonal = place - own
         width = index.budgets[item] + 1
+        regions: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for shift in (0, 1):  # bands of 2(k + 1) diagonals that overlap by half
             band = (diagonal - self.at[row] + index.lengths[item] + shift * width) // (2 * width)
             order = np.lexsort((place, band, item, row))
@@ -277,18 +286,22 @@ class Search:
             enough = np.flatnonzero(stop - start >= index.need[i[start]])
             for f, s in zip(start[enough].tolist(), stop[enough].tolist()):
                 who, where = int(i[f]), int(r[f])
-                have = self.found.get((where, who))
-                if have and have[0] == 0 or len(np.unique(e[f:s])) < index.need[who]:
-                    continue
-                k = int(index.budgets[who])
-                # copies of the item can follow one another in a band only if it is wider than the item
-                begin = max(int(self.at[where]), int(d[f:s].min()) - k)
-                end = min(int(self.at[where + 1]), int(d[f:s].max()) + int(index.lengths[who]) + k)
-                got = align(index.texts[who], self.norm[begin:end], k)
+                if len(np.unique(e[f:s])) >= index.need[who]:
+                    k = int(index.budgets[who])
+                    begin = max(int(self.at[where]), int(d[f:s].min()) - k)
+                    regions[where, who].append((begin, min(int(self.at[where + 1]), int(d[f:s].max()) + int(index.lengths[who]) + k)))
+        for (where, who), spans in regions.items():
+            merged: list[list[int]] = []
+            for begin, end in sorted(spans):  # regions that overlap are aligned as one
+                if merged and begin <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], end)
+                else:
+                    merged.append([begin, end])
+            for begin, end in merged:
+                got = align(index.texts[who], self.norm[begin:end], int(index.budgets[who]))
                 if got:
                     now = (got[2], begin + got[0], begin + got[1])
-                    if have is None or now < have:
-                        self.found[where, who] = now
+                    self.found[where, who] = min(now, self.found.get((where, who), now))
                     if not got[2]:
                         self.exact.add(where * len(index.texts) + who)
 
