@@ -184,10 +184,12 @@ def join_digits(m: Mapped) -> Mapped:
     for found in _SPELLED_IP.finditer(m.text):
         parts = re.split(r" (?:dot|point) ", found[0], flags=re.I)
         edits.append((*found.span(), ".".join("".join(DIGIT_WORDS.get(w.lower(), w) for w in p.split(" ")) for p in parts)))
-    taken = [(a, b) for a, b, _ in edits]
+    taken, at = [(a, b) for a, b, _ in edits], 0  # both lists are in order and apart, so one sweep meets all overlaps
     for found in _SPELLED.finditer(m.text):
         a, b = found.span()
-        if any(a < y and x < b for x, y in taken) or not re.search("[A-Za-z]", found[0]):
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        if at < len(taken) and taken[at][0] < b or not re.search("[A-Za-z]", found[0]):
             continue
         items = re.split("[ -]", found[0])
         sign = "+" if items[0].lower() == "plus" else ""
@@ -352,7 +354,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with every span replaced by ``<KIND>``, overlapping spans as one of the first's kind. All columns stay,
-    as do null texts; ``length_col``, if given, becomes the new length in code points."""
+    whatever they are called, as do null and empty texts and repeated rows; ``length_col``, if given, becomes the new
+    length in code points, null for a null text; an empty table stays empty."""
     ensure_importable(docs.sparkSession)
     schema = docs.schema
     at = schema.fieldNames().index(text_col)
@@ -377,22 +380,22 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, counts of base spans by kind, the digest of the listed base spans, and all spans listed."""
-    found = find_pii(docs, id_col, text_col)
+    """``id_col``, counts of base spans by kind, the digest of the listed base spans, and all spans listed. Edge cases as
+    in :func:`find_pii`: a text without spans has zeros, the digest of nothing and an empty list."""
+    ensure_importable(docs.sparkSession)
+    names = [id_col, *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
+    types = [pa.int64()] * (1 + len(KINDS)) + [pa.string()] * 2
 
     def run(batches):
         for batch in batches:
-            names = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
-            columns = {n: [] for n in names}
-            for base, added in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                base = [(s["kind"], s["start"], s["end"]) for s in base]
-                added = [(s["kind"], s["start"], s["end"]) for s in added]
-                for k in KINDS:
-                    columns[f"n_{k}"].append(sum(s[0] == k for s in base))
-                columns["base_sha256"].append(hashlib.sha256(listed(base).encode()).hexdigest())
-                columns["spans"].append(listed(base + added))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(columns[n], pa.int64() if n.startswith("n_") else pa.string()) for n in names)], [id_col, *names]
-            )
-
-    return found.mapInArrow(run, f"`{id_col}` long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+            columns: list[list] = [[] for _ in names[1:]]
+            for base, added in analyse(batch.column(1)):
+                kinds = [k for k, _, _ in base]
+                own = listed(base)
+                row = [*(kinds.count(k) for k in KINDS), hashlib.sha256(own.encode()).hexdigest(), listed(base + added) if added else own]
+                for column, x in zip(columns, row):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types[1:]))], names)
+
+    given = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
+    return given.mapInArrow(run, f"`{id_col}` long, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")

@@ -381,6 +381,23 @@ def test_pii_leaves_ordinary_text(text):
     assert pii.spans(text) == ([], [])
 
 
+def test_pii_is_linear_in_spans():
+    """Hundreds and thousands of spans in one text, disguised and plain, with times in proportion."""
+
+    def text(n):
+        return " ".join(f"user{i} at host{i} dot com, nine point one point two point {i % 10}, call one two three four five six seven eight nine, a{i}@b.org." for i in range(n))
+
+    def took(n):
+        whole, began = text(n), time.process_time()
+        base, added = pii.spans(whole)
+        assert len(base) == n and len(added) == 2 * n
+        assert all(whole[a:b].startswith("user") for k, a, b in added if k == "email")
+        return time.process_time() - began
+
+    small = took(1000)
+    assert took(8000) < 16 * small + 0.5
+
+
 def test_redaction_keeps_the_rest(spark):
     df = spark.createDataFrame([(1, "a@b.co and bob (at) c.org, 1.2.3.4.", 0), (2, None, 5), (3, "plain", 0)], "doc_id long, text string, n_chars long")
     got = {r.doc_id: (r.text, r.n_chars) for r in pii.redact(df, length_col="n_chars").collect()}
