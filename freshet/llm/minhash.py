@@ -7,14 +7,17 @@ Plan, with what is shuffled:
 2. Band keys of classes are counted; only those of two or more classes go on, with the signatures of their classes.
    At a similarity of 0.75 forty bands of four miss a link with probability (1 - 0.75^4)^40 = 3e-7.
 3. Inside a bucket, classes whose signatures agree in enough bins are *plausible*; a bucket returns a spanning forest
-   of star-shaped edges of them, at most one edge for each member, never its pairs. 157 of 256 bins lie five standard
-   deviations under what 0.75 gives.
+   of star-shaped edges of them, at most one edge for each member, never its pairs. 157 of 256 bins lie four standard
+   deviations or more under what 0.75 gives.
 4. Components of plausible edges bound where links can lie. The full sets of their members, and no others, are
-   gathered once; exact intersections confirm links, and again only spanning edges are returned.
+   gathered; exact intersections confirm links, and again only spanning edges are returned.
 5. Components of confirmed edges are the result.
 
-Buckets and components larger than ``BLOCK`` members are cut in blocks and compared by pairs of blocks, each its own
-task, so that no group however large meets in one task.
+A bucket or component over ``BLOCK`` members is first dealt in chunks of that size, each with the same ``HUBS`` of its
+members: a chunk joins what it can, and the hubs join the chunks, so each member is sent once. What is then one component
+is never compared inside again. Only if several components are left in a group are their blocks paired, a component's
+with those of the others; the few members that a large group leaves over thus meet the rest in a number of rows that
+grows with its size, not with its square.
 """
 
 from __future__ import annotations
@@ -31,7 +34,10 @@ from freshet.session import ensure_importable
 
 BINS, ROWS, BANDS = 256, 4, 40
 AGREE = 157
-BLOCK = 1024
+BLOCK = 256
+HUBS = 8
+#: Rows of a table that is broadcast.
+BROADCAST_ROWS = 200_000
 #: Members of a block hold at most this many shingles in sum before the block is cut again.
 BLOCK_SHINGLES = 2_000_000
 _TRIES = 2048
@@ -134,7 +140,7 @@ def _plausible(table: pa.Table) -> pa.Table:
     node = table["node"].to_numpy()
     side = table["side"].to_numpy()
     sig = np.frombuffer(b"".join(table["sig"].to_pylist()), dtype=np.uint8).reshape(len(node), BINS)
-    order = np.lexsort((node, side))
+    _, order = np.unique(np.stack([side.astype(np.int64), node]), axis=1, return_index=True)  # a hub may be a member, too
     node, side, sig = node[order], side[order], sig[order]
     two = side[0] == 0 and side[-1] == 1
     forest = Forest(node)
@@ -154,7 +160,7 @@ def _confirmed(table: pa.Table) -> pa.Table:
     table = table.combine_chunks()
     node, side = table["node"].to_numpy(), table["side"].to_numpy()
     raw = table["shingles"].to_pylist()
-    order = np.lexsort((node, side))
+    _, order = np.unique(np.stack([side.astype(np.int64), node]), axis=1, return_index=True)
     node, side = node[order], side[order]
     sets = [np.frombuffer(raw[k], dtype=np.uint64) for k in order]
     size = np.array([len(s) for s in sets])
@@ -185,20 +191,78 @@ def _confirmed(table: pa.Table) -> pa.Table:
     return _table(forest.links)
 
 
-def _in_blocks(members: DataFrame, group: str, blocks, payload: str, func) -> DataFrame:
-    """Applies ``func`` to every block of every group and every pair of its blocks. ``members`` has ``group``, ``node``,
-    ``payload``; ``blocks`` is a column expression for the number of blocks of the row's group."""
-    with_blocks = members.withColumn("n_blocks", blocks.cast("int"))
-    own = F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
-    dealt = with_blocks.withColumn("own", own)
-    pair = F.transform(
-        F.sequence(F.lit(0), F.col("n_blocks") - 1),
-        lambda k: F.struct(F.least(k, F.col("own")).alias("lo"), F.greatest(k, F.col("own")).alias("hi")),
-    )
-    dealt = dealt.withColumn("pair", F.explode(pair))
-    side = F.when(F.col("pair.lo") == F.col("pair.hi"), 0).when(F.col("own") == F.col("pair.lo"), 0).otherwise(1)
-    dealt = dealt.select(F.col(group).alias("grp"), F.col("pair.lo").alias("lo"), F.col("pair.hi").alias("hi"), "node", side.alias("side"), payload)
-    return dealt.groupBy("grp", "lo", "hi").applyInArrow(func, "u long, v long")
+def _beside(table: DataFrame) -> DataFrame:
+    """A written table for a join: broadcast if it is short, else dealt apart."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else apart(table)
+
+
+def _block(component, number):
+    """A block's name: of members of one component, or (null) of several."""
+    return F.struct(component.isNull().alias("mixed"), F.coalesce(component, F.lit(0)).alias("component"), number.cast("int").alias("number"))
+
+
+def _chunks(members: DataFrame) -> DataFrame:
+    """``grp, lo, hi, node, side`` of every chunk of every group, with the hubs of groups of several."""
+    nobody = F.lit(None).cast("long")
+    own = members.select("grp", "node", F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("at"))
+    hubs = members.where("n_blocks > 1").groupBy("grp", "n_blocks", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(HUBS)).alias("slice"))
+    hubs = hubs.agg(F.min_by("node", F.xxhash64("node", F.lit(2))).alias("node"))
+    hubs = hubs.select("grp", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("at"))
+    chunk = _block(nobody, F.col("at"))
+    return own.union(hubs).select("grp", chunk.alias("lo"), chunk.alias("hi"), "node", F.lit(0).alias("side"))
+
+
+def _crossings(members: DataFrame, labels: DataFrame, spent: list[DataFrame]) -> DataFrame | None:
+    """``grp, lo, hi, node, side`` of the pairs of blocks, in groups of several chunks, that hold members of different
+    components; None if there are none. A component of a block's size or more has blocks of its own. Tables that it
+    writes are added to ``spent``."""
+    placed = members.where("n_blocks > 1").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = save(placed, "placed")
+    sizes = save(placed.groupBy("grp", "component", F.ceil(F.col("n") / F.col("n_blocks")).alias("per")).agg(F.count("*").alias("size")), "sizes")
+    spent += [placed, sizes]
+    several = sizes.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select("grp")
+    sizes = sizes.join(several, "grp", "left_semi")
+    if sizes.isEmpty():
+        return None
+    sizes = sizes.withColumn("component", F.when(F.col("size") >= F.col("per"), F.col("component")))
+    sizes = sizes.groupBy("grp", "component").agg(F.ceil(F.sum("size") / F.first("per")).cast("int").alias("blocks"))
+    sizes = save(sizes, "blocks")
+    spent.append(sizes)
+    sizes = _beside(sizes)
+    own = placed.join(sizes.where("component is not null").withColumnRenamed("blocks", "alone"), ["grp", "component"], "left")
+    own = own.withColumn("component", F.when(F.col("alone").isNotNull(), F.col("component"))).drop("alone")
+    same = (F.col("m.grp") == F.col("s.grp")) & F.col("m.component").eqNullSafe(F.col("s.component"))
+    own = own.alias("m").join(sizes.alias("s"), same).select("m.grp", "m.node", "m.component", F.pmod(F.xxhash64("m.node"), F.col("s.blocks")).alias("number"))
+    blocks = sizes.select("grp", F.col("component").alias("other"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other_number"))
+    met = own.join(blocks, "grp").where("component is null or other is null or component <> other")
+    mine, theirs = _block(F.col("component"), F.col("number")), _block(F.col("other"), F.col("other_number"))
+    met = met.select("grp", "node", mine.alias("mine"), theirs.alias("theirs"))
+    return met.select("grp", F.least("mine", "theirs").alias("lo"), F.greatest("mine", "theirs").alias("hi"), "node", F.when(F.col("mine") <= F.col("theirs"), 0).otherwise(1).alias("side"))
+
+
+def _joined(members: DataFrame, payload, func) -> DataFrame:
+    """``(node, component)`` of the members that ``func`` links with others of their group. ``members`` is a written
+    table ``grp, node, n, n_blocks``; ``payload`` adds to rows with a ``node`` what ``func`` compares."""
+
+    def links(dealt: DataFrame) -> DataFrame:
+        return save(payload(dealt).groupBy("grp", "lo", "hi").applyInArrow(func, "u long, v long").distinct(), "links")
+
+    first = links(_chunks(members))
+    found = save(components(first), "components")
+    discard(first)
+    if not members.where("n_blocks > 1").isEmpty():
+        spent: list[DataFrame] = []
+        crossings = _crossings(members, found, spent)
+        if crossings is not None:
+            second = links(crossings)
+            if not second.isEmpty():
+                whole = save(components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second)), "components")
+                discard(found)
+                found = whole
+            discard(second)
+        for table in spent:
+            discard(table)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -218,27 +282,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     classes = save(classes, "classes")
 
-    banded = classes.select("node", "bands").mapInArrow(_spread_bands, "bucket long, node long")
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = banded.join(apart(shared), "bucket").join(classes.select("node", "sig"), "node")
-    n_blocks = F.ceil(F.col("n") / BLOCK)
-    edges = save(_in_blocks(members.select("bucket", "node", "n", "sig"), "bucket", n_blocks, "sig", _plausible).distinct(), "plausible")
+    banded = classes.select("node", "bands").mapInArrow(_spread_bands, "grp long, node long")
+    shared = banded.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
+    members = banded.join(apart(shared), "grp").withColumn("n_blocks", F.ceil(F.col("n") / BLOCK))
+    members = save(members.select("grp", "node", "n", "n_blocks"), "members")
+    signed = classes.select("node", "sig")
+    groups = _joined(members, lambda dealt: dealt.join(signed, "node"), _plausible)
+    discard(members)
 
-    groups = save(components(edges), "groups")
     sized = groups.join(classes.select("node", "n_shingles"), "node")
     sizes = sized.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
-    wanted = groups.join(apart(sizes), "component")
-    texts = given.join(groups.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
-    gathered = texts.dropDuplicates(["node"]).join(wanted, "node")
     n_blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("total") / BLOCK_SHINGLES), F.col("n")))
-    links = _in_blocks(gathered, "component", n_blocks, "shingles", _confirmed)
-    found = components(links)
+    sizes = save(sizes.select("component", "n", n_blocks.alias("n_blocks")).where("n_blocks > 1"), "sizes")  # of a block or more each
+    members = groups.join(_beside(sizes), "component", "left")
+    members = save(members.select(F.col("component").alias("grp"), "node", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("n_blocks", F.lit(1)).alias("n_blocks")), "members")
+
+    def sets(dealt: DataFrame) -> DataFrame:
+        wanted = given.join(dealt.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+        return dealt.join(apart(wanted.dropDuplicates(["node"])), "node")
 
+    found = _joined(members, sets, _confirmed)
     labelled = classes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     alone = prints.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component"))
     rest = prints.where("n_shingles > 0 and id is not null").select("id", "n_shingles", "digest").join(labelled, "digest")
-    out = rest.select("id", "n_shingles", "component").union(alone)
-    discard(edges)
+    out = save(rest.select("id", "n_shingles", "component").union(alone), "near")
+    for spent in (members, found, groups, sizes, classes, prints):
+        discard(spent)
     return out.select(
         F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
