@@ -11,10 +11,13 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset (tests, local mode)."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one of our own in local mode, whose driver and
+    executor are one process, and a ``RuntimeError`` elsewhere."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="freshet-")

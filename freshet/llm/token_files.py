@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.llm import tokens
@@ -57,10 +57,16 @@ def write_tokens(
     writer.parquet(path)
 
 
+def _part() -> Column:
+    """A file's number as a number: names of more than five digits would not sort as text."""
+    return F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, n_tokens, input_ids`` with the place of each row: ``file`` (ascending names) and ``row``."""
+    """``doc_id, n_tokens, input_ids`` with the place of each row: ``file``, the number of its part, and ``row``. Null ids,
+    empty texts and repeated rows come back as written; a table without rows has none."""
     return spark.read.schema("doc_id long, n_tokens long, input_ids array<int>").parquet(path).select(
-        "doc_id", "n_tokens", "input_ids", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+        "doc_id", "n_tokens", "input_ids", _part().alias("file"), F.col("_metadata.row_index").alias("row")
     )
 
 
@@ -79,12 +85,12 @@ def _checksums(batches):
 
 def digest_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of a written table, from its files: a running sum inside each file, and
-    over one total for each file to place the files."""
+    over one total for each file to place the files. Edge cases as in :func:`write_tokens`."""
     ensure_importable(spark)
-    rows = read_tokens(spark, path).mapInArrow(_checksums, "doc_id long, n_tokens long, ids_crc32 long, file string, row long")
+    rows = read_tokens(spark, path).mapInArrow(_checksums, "doc_id long, n_tokens long, ids_crc32 long, file long, row long")
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    totals = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"), "n_tokens").groupBy("file").agg(F.sum("n_tokens").alias("total"))
+    totals = spark.read.parquet(path).select(_part().alias("file"), "n_tokens").groupBy("file").agg(F.sum("n_tokens").alias("total"))
     over = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("file", F.coalesce(F.sum("total").over(over), F.lit(0)).alias("base"))
     return placed.join(bases, "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
