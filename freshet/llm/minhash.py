@@ -34,8 +34,10 @@ from freshet.session import ensure_importable
 
 BINS, ROWS, BANDS = 256, 4, 40
 AGREE = 157
-BLOCK = 256
+BLOCK = 128
 HUBS = 8
+#: Most members of a block that is paired with others, where a group leaves many over.
+WIDE = 2048
 #: Rows of a table that is broadcast.
 BROADCAST_ROWS = 200_000
 #: Members of a block hold at most this many shingles in sum before the block is cut again.
@@ -218,10 +220,12 @@ def _crossings(members: DataFrame, labels: DataFrame, spent: list[DataFrame]) ->
     writes are added to ``spent``."""
     placed = members.where("n_blocks > 1").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = save(placed, "placed")
-    sizes = save(placed.groupBy("grp", "component", F.ceil(F.col("n") / F.col("n_blocks")).alias("per")).agg(F.count("*").alias("size")), "sizes")
+    sizes = save(placed.groupBy("grp", "component", "n", "most").agg(F.count("*").alias("size")), "sizes")
     spent += [placed, sizes]
-    several = sizes.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select("grp")
-    sizes = sizes.join(several, "grp", "left_semi")
+    # blocks as large as what the largest component leaves over, within bounds: all others then meet it in one block
+    over = F.col("n") - F.max("size")
+    several = sizes.groupBy("grp", "n", "most").agg(F.count("*").alias("k"), over.alias("over")).where("k > 1")
+    sizes = sizes.join(several.select("grp", F.least("most", F.greatest("over", F.lit(BLOCK))).alias("per")), "grp")
     if sizes.isEmpty():
         return None
     sizes = sizes.withColumn("component", F.when(F.col("size") >= F.col("per"), F.col("component")))
@@ -242,7 +246,8 @@ def _crossings(members: DataFrame, labels: DataFrame, spent: list[DataFrame]) ->
 
 def _joined(members: DataFrame, payload, func) -> DataFrame:
     """``(node, component)`` of the members that ``func`` links with others of their group. ``members`` is a written
-    table ``grp, node, n, n_blocks``; ``payload`` adds to rows with a ``node`` what ``func`` compares."""
+    table ``grp, node, n, n_blocks, most`` with a group's size, number of chunks and most members of a paired block;
+    ``payload`` adds to rows with a ``node`` what ``func`` compares."""
 
     def links(dealt: DataFrame) -> DataFrame:
         return save(payload(dealt).groupBy("grp", "lo", "hi").applyInArrow(func, "u long, v long").distinct(), "links")
@@ -285,7 +290,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = classes.select("node", "bands").mapInArrow(_spread_bands, "grp long, node long")
     shared = banded.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
     members = banded.join(apart(shared), "grp").withColumn("n_blocks", F.ceil(F.col("n") / BLOCK))
-    members = save(members.select("grp", "node", "n", "n_blocks"), "members")
+    members = save(members.select("grp", "node", "n", "n_blocks", F.lit(WIDE).cast("long").alias("most")), "members")
     signed = classes.select("node", "sig")
     groups = _joined(members, lambda dealt: dealt.join(signed, "node"), _plausible)
     discard(members)
@@ -293,9 +298,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = groups.join(classes.select("node", "n_shingles"), "node")
     sizes = sized.groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
     n_blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("total") / BLOCK_SHINGLES), F.col("n")))
-    sizes = save(sizes.select("component", "n", n_blocks.alias("n_blocks")).where("n_blocks > 1"), "sizes")  # of a block or more each
+    most = F.greatest(F.lit(1), F.least(F.lit(WIDE), F.floor(F.col("n") * BLOCK_SHINGLES / F.col("total"))))
+    sizes = save(sizes.select("component", "n", n_blocks.alias("n_blocks"), most.alias("most")).where("n_blocks > 1"), "sizes")  # of a block or more each
+    one = F.lit(1).cast("long")
     members = groups.join(_beside(sizes), "component", "left")
-    members = save(members.select(F.col("component").alias("grp"), "node", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("n_blocks", F.lit(1)).alias("n_blocks")), "members")
+    members = save(members.select(F.col("component").alias("grp"), "node", *(F.coalesce(c, one).alias(c) for c in ("n", "n_blocks", "most"))), "members")
 
     def sets(dealt: DataFrame) -> DataFrame:
         wanted = given.join(dealt.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")

@@ -174,7 +174,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-@pytest.mark.parametrize("block", [3, 7, 256])
+@pytest.mark.parametrize("block", [3, 7, 128])
 def test_near_duplicates(spark, docs, monkeypatch, block):
     """Chains of edits around the threshold, in blocks of a few and in one."""
     monkeypatch.setattr(minhash, "BLOCK", block)
@@ -196,7 +196,7 @@ def test_rows_sent_grow_with_a_group(spark, monkeypatch):
     """A group of many chunks sends each member once, and again only to the blocks of the few that it does not hold."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
     n = 1600
-    members = spark.range(n).selectExpr("cast(7 as long) AS grp", "id AS node", f"cast({n} as long) AS n", f"cast({n // 16} as long) AS n_blocks")
+    members = spark.range(n).selectExpr("cast(7 as long) AS grp", "id AS node", f"cast({n} as long) AS n", f"cast({n // 16} as long) AS n_blocks", "cast(64 as long) AS most")
     dealt = minhash._chunks(members)
     assert dealt.count() == n + minhash.HUBS * n // 16 and dealt.groupBy("lo").count().agg({"count": "max"}).first()[0] < 60
     labels = spark.range(n).selectExpr("id AS node", "CASE WHEN id < 1590 THEN cast(0 as long) ELSE id END AS component")
@@ -210,6 +210,8 @@ def test_rows_sent_grow_with_a_group(spark, monkeypatch):
     met = {frozenset((a, b)) for (lo, hi), (x, y) in pairs.items() for a in x for b in (x if lo == hi else y) if a != b}
     assert met >= {frozenset((a, b)) for a in range(1590, n) for b in range(n) if a != b}
     assert minhash._crossings(members, labels.selectExpr("node", "cast(0 as long) AS component"), []) is None
+    alone = minhash._crossings(members, labels.selectExpr("node", "node AS component"), [])  # nothing linked: blocks of the widest
+    assert alone.count() == n * n // 64 and alone.where("side = 1 and lo = hi").isEmpty()
 
 
 def test_signatures_estimate_similarity():
