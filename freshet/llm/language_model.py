@@ -4,11 +4,14 @@ The probability of a word after another mixes three maximum-likelihood estimates
 knowledge; the mixture depends on how often the context was seen, in buckets of powers of two, and is learned by
 expectation-maximisation on the counts of held-out training documents.
 
-Counting never gathers occurrences. A *block* is what one input split holds: its distinct words and word pairs are
-counted where they are read, packed in sorted arrays, one for each hash range, and sent to that range, which adds the
-counts of all blocks and sends each block the totals of what it asked about. Scoring meets a block's texts with its own
-totals, so nothing that grows with the corpus is broadcast or held by one task. What is shuffled: the texts once, eight
-bytes for each distinct pair of each block, and its count on the way back.
+Counting never gathers occurrences. A *block* is what one partition of the input holds; texts are first written to the
+shared folder with the number of their block, so that blocks are data and later passes may split their input as they
+like. A block's distinct words and word pairs are counted where they are read, packed in sorted arrays, one for each hash
+range, and sent to that range, which adds the counts of all blocks and sends each block the totals of what it asked
+about. Scoring meets a block's texts with its own totals. There is one hash range for each ``RANGE_BYTES`` of text, so
+that a range, like a block, stays of one size as the corpus grows, and nothing that grows with it is broadcast or held by
+one task. What is shuffled: the texts once, eight bytes for each distinct pair of each block, and its count on the way
+back.
 """
 
 from __future__ import annotations
@@ -18,18 +21,20 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm import textkernel as tk
 from freshet.llm.labelled import remainder
-from freshet.llm.storage import save, shuffle_partitions
+from freshet.llm.storage import discard, save, shuffle_partitions
 from freshet.session import ensure_importable
 
 #: Buckets of context counts: 0, 1, 2-3, 4-7, ...
 BUCKETS = 40
 #: Steps of log2 by which ratios are rounded before EM; its statistics are then a bounded table.
 STEP = 8
+#: Text for each hash range. Words and pairs of a range are a table each, of about twice that size.
+RANGE_BYTES = 8 << 20
 WORD, PAIR = 0, 1
 
 
@@ -174,24 +179,28 @@ _REPLY = "kind int, block long, part int, keys binary, total binary, core binary
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Totals of one hash range: for each block the total of its keys in their order, and, of those its held-out part
-    has, the keys with the counts of all training documents but the held-out ones. One row tells the range's sums."""
+    """Totals of one hash range: for each block the total of its keys in ascending order, and, of those its held-out
+    part has, the keys with the counts of all training documents but the held-out ones. One row tells the range's sums.
+    A block that was read in several parts asks in several rows, and is answered in one."""
     part, kind = table["part"][0].as_py(), table["kind"][0].as_py()
-    blocks = table["block"].to_pylist()
     keys = [np.frombuffer(x, dtype=np.uint64) for x in table["keys"].to_pylist()]
-    total, held = [_large(x) for x in table["total"].to_pylist()], [_large(x) for x in table["held"].to_pylist()]
-    every, counts = _merge(keys, [np.stack(x, axis=1) for x in zip(total, held)])
+    asked = [np.stack((_large(a), _large(b)), axis=1) for a, b in zip(table["total"].to_pylist(), table["held"].to_pylist())]
+    of_block: dict[int, list[int]] = defaultdict(list)
+    for i, block in enumerate(table["block"].to_pylist()):
+        of_block[block].append(i)
+    every, counts = _merge(keys, asked)
     real = every != tk.U64(tk.START)
     out = {n: [] for n in ("block", "keys", "total", "core")}
     sums = (int(counts[real, 0].sum(dtype=np.int64)), int((counts[real, 0] - counts[real, 1]).sum(dtype=np.int64)), int((counts[real, 0] > 0).sum())) if kind == WORD else (0, 0, 0)
-    for b, k, h in zip(blocks, keys, held):
+    for b, rows in of_block.items():
+        k, own = (keys[rows[0]], asked[rows[0]]) if len(rows) == 1 else _merge([keys[i] for i in rows], [asked[i] for i in rows])
         at = np.searchsorted(every, k)
-        mine = h > 0
+        mine = own[:, 1] > 0
         out["block"].append(b)
         out["keys"].append(k[mine].tobytes())
         out["total"].append(_small(counts[at, 0]))
         out["core"].append(_small(counts[at[mine], 0] - counts[at[mine], 1]))
-    n = len(blocks)
+    n = len(of_block)
     return pa.table({
         "kind": pa.array([kind] * n, pa.int32()), "block": pa.array(out["block"], pa.int64()), "part": pa.array([part] * n, pa.int32()),
         "keys": pa.array(out["keys"], pa.binary()), "total": pa.array(out["total"], pa.binary()), "core": pa.array(out["core"], pa.binary()),
@@ -251,29 +260,23 @@ def learn_weights(rows: list[tuple[int, int, int, int]], rounds: int = 60) -> np
     return weights
 
 
-def _block() -> Column:
-    """A number for each input split, the same in every pass over the same files."""
-    return F.xxhash64(F.input_file_name(), F.input_file_block_start())
-
-
-def score(docs: DataFrame, stored: bool = False, id_col: str = "doc_id", text_col: str = "text", fold: int = 2) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold: int = 2) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Tokens are the words (A-Z lower-cased) and one end. The model learns from rows whose crc32 of the id as text mod 7
     is not ``fold``; of those, remainder 6 is held out for the mixture weights. ``base_score`` is the add-one unigram
     log10 probability, ``score`` the model's. Null and empty texts have the end alone; rows with a null id are scored
     and learned from; repeated rows count as often as they come; an empty table gives an empty result; other columns are
-    ignored. ``stored`` says that ``docs`` is a plain scan of files, which both passes then read; otherwise it is
-    written to the shared folder first.
+    ignored.
     """
     spark = ensure_importable(docs.sparkSession)
-    parts = shuffle_partitions(spark)
     r = remainder(F.col(id_col), 7)
     role = F.when(r == fold, 0).when(r == (6 if fold != 6 else 5), 2).otherwise(1).cast("int")
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), role.alias("role"))
-    if not stored:
-        given = save(given, "texts")
-    given = given.select(_block().alias("block"), "text", "role", "doc_id")
+    text = F.col(text_col).cast("string").alias("text")
+    written = save(docs.select(F.spark_partition_id().cast("long").alias("block"), text, role.alias("role"), F.col(id_col).cast("long").alias("doc_id")), "texts")
+    given = written
+    size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-size // RANGE_BYTES))
 
     asked = given.select("block", "text", "role").mapInArrow(_requests(parts), _REQUEST)
     replies = save(asked.repartition(2 * parts, "part", "kind").groupBy("part", "kind").applyInArrow(_answer, _REPLY), "counts")
@@ -309,7 +312,7 @@ def score(docs: DataFrame, stored: bool = False, id_col: str = "doc_id", text_co
             raw = mine["total"].to_pylist()
             totals.append(np.concatenate([_large(raw[i]) for i in order]) if len(raw) else np.zeros(0, np.uint32))
             if len(totals[-1]) != len(keys):
-                raise RuntimeError("a block's texts changed between two passes over the input")
+                raise RuntimeError("the written texts of a block do not match its counts")
         out = {x: [] for x in ("n_tokens", "n_known", "base_score", "score")}
         words, pairs = (x.astype(np.float64) for x in totals)
         openings = words[np.searchsorted(block.keys[WORD], tk.U64(tk.START))]
@@ -332,7 +335,10 @@ def score(docs: DataFrame, stored: bool = False, id_col: str = "doc_id", text_co
     out = given.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
         scores, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    out = save(out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"), "scores")
+    discard(written)
+    discard(replies)
+    return out
 
 
 def _held(right: pa.Table, kind: int) -> Lookup:

@@ -62,7 +62,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model.score(spark.read.parquet(f"{sf_dir}/documents.parquet"), stored=True)
+    return language_model.score(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -569,6 +569,73 @@ def test_language_model(spark, docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def brute_interpolation(texts):
+    """Scores by dictionaries: estimates of pair and word, buckets of context counts, EM on the held-out part."""
+    role = {d: zlib.crc32(str(d).encode()) % 7 for d in texts}
+    words = {d: [*WORD.findall(lower(t)), "</s>"] for d, t in texts.items()}
+
+    def counted(wanted):
+        one, two, context = collections.Counter(), collections.Counter(), collections.Counter()
+        for d, w in words.items():
+            if wanted(role[d]):
+                one.update(w)
+                two.update(zip(["<s>", *w], w))
+                context.update(["<s>", *w])
+        return one, two, context, sum(one.values())
+
+    def parts(model, before, word, unknown):
+        one, two, context, n = model
+        bucket = min(context[before].bit_length(), language_model.BUCKETS - 1)
+        return bucket, two[before, word] / max(context[before], 1), one[word] / max(n, 1), unknown
+
+    whole, core = counted(lambda r: r != 2), counted(lambda r: r not in (2, 6))
+    unknown = 1 / (len(whole[0]) + 1)
+    seen = collections.defaultdict(list)
+    for d, w in words.items():
+        if role[d] == 6:
+            for a, b in zip(["<s>", *w], w):
+                bucket, *p = parts(core, a, b, unknown)
+                # ratios are rounded to steps of an eighth of a power of two, and never under one unless zero
+                seen[bucket].append([2 ** (round(math.log2(max(x / unknown, 1)) * 8) / 8) if x else 0 for x in p[:2]] + [1])
+    weights, last = {}, None
+    for b in range(language_model.BUCKETS):
+        mix = [0.4, 0.4, 0.2] if b else [0.0, 0.7, 0.3]
+        for _ in range(60 if b in seen else 0):
+            got = [0.1 if b else 0.0, 0.1, 0.1]
+            for row in seen[b]:
+                z = sum(x * y for x, y in zip(row, mix))
+                got = [g + x * y / z for g, x, y in zip(got, row, mix)]
+            mix = [g / sum(got) for g in got]
+        if b in seen:
+            last = b
+        elif last is not None and b:
+            mix = weights[last] if last else [0.3, 0.5, 0.2]
+        weights[b] = mix
+    out = {}
+    for d, w in words.items():
+        out[d] = 0.0
+        for a, b in zip(["<s>", *w], w):
+            bucket, *p = parts(whole, a, b, unknown)
+            out[d] += math.log10(sum(x * y for x, y in zip(weights[bucket], p)))
+    return out
+
+
+@pytest.mark.parametrize("range_bytes, partitions", [(500, 5), (8 << 20, 1)])
+def test_interpolation_against_brute_force(spark, monkeypatch, range_bytes, partitions):
+    """The same scores however the input is split and read again, and however many hash ranges there are."""
+    monkeypatch.setattr(language_model, "RANGE_BYTES", range_bytes)
+    rng = random.Random(17)
+    texts = {i: " ".join(rng.choices("the of A cat Dog sat on mat é ran".split(), weights=range(10, 0, -1), k=rng.randint(0, 25))) for i in range(300)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(partitions)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k" if partitions > 1 else "128m")
+    try:
+        got = {r.doc_id: r.score for r in language_model.score(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = brute_interpolation(texts)
+    assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d], rel=1e-6) for d in want)
+
+
 def test_language_model_is_a_distribution(spark):
     """Texts are disjoint events: probabilities of a few stay under one, and longer or unseen ones are rarer."""
     rng = random.Random(10)
