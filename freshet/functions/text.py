@@ -12,7 +12,7 @@ from freshet.vocabulary import DISPLAY_NAMES
 
 def all_label(tag: Column) -> Column:
     """``man_made`` to ``All Man_made``."""
-    return F.concat(F.lit("All "), F.upper(F.substring(tag, 1, 1)), F.lower(F.substring(tag, 2, 1000)))
+    return F.concat(F.lit("All "), F.upper(F.substring(tag, 1, 1)), F.lower(F.substr(tag, F.lit(2))))
 
 
 def display_name(tag: Column) -> Column:

@@ -11,21 +11,33 @@ from pyspark.sql import functions as F
 from freshet.functions.text import all_label, display_name, duration
 
 
+def _report(df: DataFrame, tag: str | None, key: str, label: str, total_label: str, measure: Column | None, name: str) -> DataFrame:
+    """TOTAL, SUBTOTAL (of ``tag``, if given) and DETAIL rows. ``df`` is evaluated once: it is added up by tag and value,
+    and all rows come from those few sums, to which a zero is added so that there is a TOTAL over no rows, too."""
+    count = measure is None
+    zero = F.lit(0).cast("long") if count else F.lit(0.0)
+    kinds = {"_tag": F.lit(None).cast("string") if tag is None else F.col(tag), "_key": F.col(key)}
+    sums = df.select(*(c.alias(n) for n, c in kinds.items()), *(() if count else (measure.alias("_m"),)))
+    sums = sums.groupBy("_tag", "_key").agg((F.count(F.lit(1)) if count else F.coalesce(F.sum("_m"), F.lit(0.0))).alias("_sum"))
+    nothing = df.sparkSession.range(1).select(*(F.lit(None).cast(sums.schema[n].dataType).alias(n) for n in kinds), zero.alias("_sum"))
+    sets = [[], ["_key"], *([["_tag"]] if tag is not None else [])]
+    grouped = sums.unionByName(nothing).groupingSets([[F.col(c) for c in x] for x in sets], "_tag", "_key")
+    rows = grouped.agg(F.sum("_sum").alias(name), F.grouping("_tag").alias("_no_tag"), F.grouping("_key").alias("_no_key"))
+    category = F.when(F.col("_no_tag") == 0, "SUBTOTAL").when(F.col("_no_key") == 0, "DETAIL").otherwise("TOTAL")
+    text = F.when(F.col("_no_tag") == 0, all_label(F.col("_tag"))).when(F.col("_no_key") == 0, F.col("_key")).otherwise(total_label)
+    named = rows.select(category.alias("category"), text.alias(label), name)
+    return named.where(F.col(label).isNotNull())
+
+
 def total_detail(df: DataFrame, key: str, label: str, total_label: str, measure: Column | None = None, name: str = "count") -> DataFrame:
     """``category, label, name``: one TOTAL row, also over no rows, then a DETAIL row for each key that is not null.
     ``measure`` defaults to a count of rows."""
-    count = measure is None
-    value = F.count(F.lit(1)) if count else F.coalesce(F.sum(measure), F.lit(0.0))
-    total = df.agg(value.alias(name)).select(F.lit("TOTAL").alias("category"), F.lit(total_label).alias(label), name)
-    detail = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(label)).agg(value.alias(name))
-    return total.unionByName(detail.select(F.lit("DETAIL").alias("category"), label, name))
+    return _report(df, None, key, label, total_label, measure, name)
 
 
 def with_subtotals(df: DataFrame, tag: str, key: str, label: str, total_label: str) -> DataFrame:
     """As :func:`total_detail`, with a SUBTOTAL row for each tag; a detail is of its value alone, whatever its tag."""
-    subtotal = df.where(F.col(tag).isNotNull()).groupBy(tag).agg(F.count(F.lit(1)).alias("count"))
-    subtotal = subtotal.select(F.lit("SUBTOTAL").alias("category"), all_label(F.col(tag)).alias(label), "count")
-    return total_detail(df, key, label, total_label).unionByName(subtotal)
+    return _report(df, tag, key, label, total_label, None, "count")
 
 
 def ordered(report: DataFrame, label: str) -> DataFrame:

@@ -19,7 +19,7 @@ def run(spark: SparkSession, analyses: Mapping[str, Callable[[], DataFrame]], fo
     for name, make in analyses.items():
         began = time.perf_counter()
         try:
-            make().coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name.lower()}_statistics")
+            make().repartition(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name.lower()}_statistics")
             rows.append((name, "SUCCESS", time.perf_counter() - began, None))
         except Exception as error:  # noqa: BLE001  the ledger tells it
             rows.append((name, "FAILED", 0.0, str(error).splitlines()[0] if str(error) else type(error).__name__))

@@ -45,6 +45,12 @@ def test_union_is_of_whole_tables(spark):
     assert QUERIES["union_schema_drift_whole"](spark, DATA).count() == want
 
 
+@pytest.mark.parametrize("name", ["buildings_report", "infra_report_subtotals", "structures3_subtotals", "overlay_line_length_by_type"])
+def test_reports_join_once(spark, name):
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and plan.count("Relation [") + plan.count("Relation[") == 2
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
