@@ -1,7 +1,9 @@
 """The training-corpus pipeline: quality rules, near-duplicates, decontamination, personal data, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
-one's docs. All but the last return the columns of ``docs``.
+one's docs. All but the last return the columns of ``docs``, whatever extra ones there are and whatever these are called.
+Nulls in any column, empty and very long texts and repeated rows are handled as each stage says; an empty table goes
+through every stage as an empty table.
 """
 
 from __future__ import annotations
@@ -12,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import decontamination, minhash, packing, pii, quality_rules
-from freshet.llm.storage import save
+from freshet.llm.storage import discard, save
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed rules keep."""
+    """Documents that the weighed rules keep. Null, empty and very short texts (under ten words) go; a repeated row is
+    judged like the first."""
     return quality_rules.keep(docs)
 
 
@@ -36,17 +39,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
+    """Documents that hold no benchmark passage. Null and empty texts hold none and stay; without items all stay."""
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by the names of its kinds, ``n_chars`` being their new length."""
+    """Texts with personal data replaced by the names of its kinds, ``n_chars`` being their new length. Null texts stay
+    null, and every row stays."""
     return pii.redact(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences. A null or empty text is its end id alone; rows with a null id and repeated rows are
+    packed as they come."""
     return packing.pack_documents(docs)
 
 
@@ -65,5 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = save(stage(spark, docs, sf_dir), name)
+        before, docs = docs, save(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

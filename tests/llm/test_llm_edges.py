@@ -41,6 +41,28 @@ def test_toxicity(spark, odd, empty, labels):
     assert toxicity.classify(empty, toxicity.train(empty, labels.limit(0))).count() == 0
 
 
+def test_quality_threshold_ties(spark):
+    """Scores that tie at the quantile fall on one side together."""
+    rows = [(i, "good words all the way and on" if i % 2 else "#### $$$$ ||||") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality_classifier.train(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"))
+    got = {(r.doc_id % 2, r.predicted) for r in quality_classifier.classify(docs, model).collect()}
+    assert got == {(0, 0), (1, 1)}
+
+
+def test_long_repetitive_text_against_an_item_of_its_letters(spark):
+    items = spark.createDataFrame([(1, "x" * 300), (2, "ab" * 60)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x" * 200_000), (2, "ab " * 50_000), (3, "x" * 299)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.edits) for r in decontamination.find_contamination(docs, items).collect()}
+    assert got == {(1, 1, 0), (3, 1, 1)}
+
+
+def test_hundreds_of_spans_in_one_text(spark):
+    text = " ".join(f"u{i} at h{i} dot org x{i}@y.com" for i in range(500))
+    row = pii.digests(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_email == 500 and len(row.spans.split(",")) == 1000
+
+
 def test_url_filter(spark, odd):
     pages = odd.select(F.col("doc_id").alias("page_id"), F.col("text").alias("url"), "host", "path", "id")
     rows = url_filter.filter_urls(pages, rules(spark)).collect()
@@ -113,6 +135,9 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
             out = stage(spark, docs, str(tmp_path))
             assert out.columns == docs.columns
             out.collect()
+        pieces = corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()
+        ends = [r for r in pieces if r.start + r.length == r.doc_tokens]
+        assert len(ends) == docs.count() and sum(r.length for r in pieces) == sum(r.doc_tokens for r in ends)
     near = corpus_pipeline.near_duplicates(spark, odd, str(tmp_path)).collect()
     assert sorted(str(r.doc_id) for r in near) == ["0", "1", "2", "3", "4", "5", "6", "None"]
 
