@@ -199,8 +199,9 @@ def _beside(table: DataFrame) -> DataFrame:
 
 
 def _block(component, number):
-    """A block's name: of members of one component, or (null) of several."""
-    return F.struct(component.isNull().alias("mixed"), F.coalesce(component, F.lit(0)).alias("component"), number.cast("int").alias("number"))
+    """A block's name, of members of one component or (null) of several. Two blocks that share a name, one pair of 2^64,
+    are compared as one."""
+    return F.xxhash64(component.isNull(), component, number.cast("int"))
 
 
 def _chunks(members: DataFrame) -> DataFrame:
@@ -305,15 +306,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = save(members.select(F.col("component").alias("grp"), "node", *(F.coalesce(c, one).alias(c) for c in ("n", "n_blocks", "most"))), "members")
 
     def sets(dealt: DataFrame) -> DataFrame:
-        wanted = given.join(dealt.select(F.col("node").alias("id")), "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
-        return dealt.join(apart(wanted.dropDuplicates(["node"])), "node")
+        # the ids of texts to read again: few enough to be sent to all texts, unless groups hold very many
+        ids = save(dealt.select(F.col("node").alias("id")).distinct(), "ids")
+        read.append(ids)
+        wanted = given.join(_beside(ids), "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+        return dealt.join(wanted.dropDuplicates(["node"]), "node")
 
+    read: list[DataFrame] = []
     found = _joined(members, sets, _confirmed)
     labelled = classes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     alone = prints.where("n_shingles = 0 or id is null").select("id", "n_shingles", F.col("id").alias("component"))
     rest = prints.where("n_shingles > 0 and id is not null").select("id", "n_shingles", "digest").join(labelled, "digest")
     out = save(rest.select("id", "n_shingles", "component").union(alone), "near")
-    for spent in (members, found, groups, sizes, classes, prints):
+    for spent in (*read, members, found, groups, sizes, classes, prints):
         discard(spent)
     return out.select(
         F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
