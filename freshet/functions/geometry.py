@@ -77,10 +77,28 @@ def _cross(ax, ay, bx, by) -> Column:
     return ax * by - ay * bx
 
 
+#: Distances under this share of the coordinates are rounding: some thousand times the error of a double.
+NEAR = 1e-12
+
+
+def _near(cross: Column, span: Column, *coordinates: Column) -> Column:
+    """Whether a cross product is that of points on one line: their distance is rounding beside the coordinates."""
+    return F.abs(cross) <= span * NEAR * F.greatest(*(F.abs(c) for c in coordinates))
+
+
 def on_edges(x: Column, y: Column, e: Column) -> Column:
-    return F.exists(e, lambda s: (_cross(s["x2"] - s["x1"], s["y2"] - s["y1"], x - s["x1"], y - s["y1"]) == 0)
-                    & x.between(F.least(s["x1"], s["x2"]), F.greatest(s["x1"], s["x2"]))
-                    & y.between(F.least(s["y1"], s["y2"]), F.greatest(s["y1"], s["y2"])))
+    """Point on an edge, up to rounding."""
+
+    def on(s: Column) -> Column:
+        dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
+        slack = F.greatest(F.abs(x), F.abs(y)) * NEAR
+        return (
+            _near(_cross(dx, dy, x - s["x1"], y - s["y1"]), F.abs(dx) + F.abs(dy), x, y, s["x1"], s["y1"])
+            & x.between(F.least(s["x1"], s["x2"]) - slack, F.greatest(s["x1"], s["x2"]) + slack)
+            & y.between(F.least(s["y1"], s["y2"]) - slack, F.greatest(s["y1"], s["y2"]) + slack)
+        )
+
+    return F.exists(e, on)
 
 
 def inside(x: Column, y: Column, e: Column) -> Column:
@@ -146,19 +164,23 @@ def intersection_area(a: Column, b: Column) -> Column:
     return F.transform(F.array(low), lambda base: _sum(a, lambda s: F.aggregate(b, _zero(), lambda acc, t: acc + term(s, t, base))))[0]
 
 
-def clipped_length(lines: Column, polygon: Column) -> Column:
-    """Length of line edges inside the closed polygon; a run along the border counts."""
+def clipped(lines: Column, polygon: Column) -> Column:
+    """Runs of line edges inside the closed polygon as ``struct<len, x1, y1, x2, y2>``, in the line's order; a run along
+    the border, up to rounding, counts."""
 
     def cuts(s: Column, t: Column) -> Column:
         rx, ry = s["x2"] - s["x1"], s["y2"] - s["y1"]
         sx, sy = t["x2"] - t["x1"], t["y2"] - t["y1"]
         qx, qy = t["x1"] - s["x1"], t["y1"] - s["y1"]
-        d = _cross(rx, ry, sx, sy)
+        d, off = _cross(rx, ry, sx, sy), _cross(qx, qy, rx, ry)
+        reach = F.abs(rx) + F.abs(ry)
+        parallel = F.abs(d) <= reach * (F.abs(sx) + F.abs(sy)) * NEAR
         u = _cross(qx, qy, rx, ry) / F.nullif(d, F.lit(0.0))
         k = _cross(qx, qy, sx, sy) / F.nullif(d, F.lit(0.0))
         rr = F.nullif(rx * rx + ry * ry, F.lit(0.0))
         along = F.array((qx * rx + qy * ry) / rr, ((qx + sx) * rx + (qy + sy) * ry) / rr)
-        return F.when((d != 0) & u.between(0, 1), F.array(k)).when((d == 0) & (_cross(qx, qy, rx, ry) == 0), along)
+        same = _near(off, reach, s["x1"], s["y1"], t["x1"], t["y1"])
+        return F.when(~parallel & u.between(-NEAR, 1 + NEAR), F.array(k)).when(parallel & same, along)
 
     def cut(s: Column) -> Column:
         each = F.filter(F.transform(polygon, lambda t: cuts(s, t)), lambda c: c.isNotNull())
@@ -170,6 +192,7 @@ def clipped_length(lines: Column, polygon: Column) -> Column:
         s, marks = m["s"], m["marks"]
         return F.transform(F.sequence(F.lit(0), F.size(marks) - 2), lambda i: F.struct(
             ((marks[i + 1] - marks[i]) * F.hypot(s["x2"] - s["x1"], s["y2"] - s["y1"])).alias("len"),
+            *((s[f"{c}1"] + (s[f"{c}2"] - s[f"{c}1"]) * marks[i + j - 1]).alias(f"{c}{j}") for j in (1, 2) for c in "xy"),
             (s["x1"] + (s["x2"] - s["x1"]) * (marks[i] + marks[i + 1]) / 2).alias("x"),
             (s["y1"] + (s["y2"] - s["y1"]) * (marks[i] + marks[i + 1]) / 2).alias("y"),
         ))
@@ -177,7 +200,21 @@ def clipped_length(lines: Column, polygon: Column) -> Column:
     # every step is an array of its own: a lambda's variable is evaluated once, an inlined expression at each mention
     every = F.flatten(F.transform(F.transform(lines, cut), runs))
     kept = F.filter(every, lambda r: covers(r["x"], r["y"], polygon))
-    return F.aggregate(kept, _zero(), lambda acc, r: acc + r["len"])
+    return F.transform(kept, lambda r: F.struct(*(r[n].alias(n) for n in ("len", "x1", "y1", "x2", "y2"))))
+
+
+def runs_length(runs: Column) -> Column:
+    return _sum(runs, lambda r: r["len"])
+
+
+def clipped_length(lines: Column, polygon: Column) -> Column:
+    """Length of line edges inside the closed polygon; a run along the border counts."""
+    return runs_length(clipped(lines, polygon))
+
+
+def runs_parts(runs: Column) -> Column:
+    """The runs as the parts of a line, of two points each."""
+    return F.transform(runs, lambda r: F.array(F.struct(r["x1"].alias("x"), r["y1"].alias("y")), F.struct(r["x2"].alias("x"), r["y2"].alias("y"))))
 
 
 def in_box(x: Column, y: Column, box: tuple[float, float, float, float] | None) -> Column:

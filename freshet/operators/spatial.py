@@ -59,22 +59,33 @@ def spatial_semi(left: DataFrame, right: DataFrame, size: float, key: str, left_
     return left.join(hits, key, "left_semi")
 
 
-def _positive(pairs: DataFrame, name: str, measure: Column) -> DataFrame:
-    """Adds a measure and keeps rows where it is positive. Exploding it evaluates it once; a filter on it would be
-    pushed into the join and evaluate it there too."""
-    return pairs.withColumn(name, F.explode(F.filter(F.array(measure), lambda m: m > 0)))
+def _once(pairs: DataFrame, name: str, measure: Column, keep) -> DataFrame:
+    """Adds a measure and keeps rows for which ``keep`` of it holds. Exploding it evaluates it once; a filter on it
+    would be pushed into the join and evaluate it there too."""
+    return pairs.withColumn(name, F.explode(F.filter(F.array(measure), keep)))
+
+
+def _reach() -> Column:
+    """The greatest coordinate of a pair's boxes."""
+    return F.greatest(*(F.abs(F.col(f"{side}_{b}")) for side in "lr" for b in BOX))
 
 
 def overlay_area(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
-    """Pairs whose interiors meet, with ``area`` of their intersection."""
+    """Pairs whose interiors meet, with ``area`` of their intersection. What is no more than rounding, as along a common
+    border at general coordinates, is no area."""
     pairs = candidates(left, right, size)
-    return _positive(pairs, "area", g.intersection_area(F.col("l_edges"), F.col("r_edges")))
+    low, high = (lambda axis: F.greatest(f"l_min{axis}", f"r_min{axis}")), (lambda axis: F.least(f"l_max{axis}", f"r_max{axis}"))
+    rounding = _reach() * (high("x") - low("x") + high("y") - low("y")) * (g.NEAR / 100)
+    return _once(pairs, "area", g.intersection_area(F.col("l_edges"), F.col("r_edges")), lambda m: m > rounding)
 
 
 def overlay_length(lines: DataFrame, zones: DataFrame, size: float) -> DataFrame:
-    """Pairs with ``length``, the length of the line inside the closed zone; a run along a common border is in both."""
+    """Pairs with ``length``, the length of the line inside the closed zone, and ``parts``, that piece of it; a run along
+    a common border is in both."""
     pairs = candidates(lines, zones, size)
-    return _positive(pairs, "length", g.clipped_length(F.col("l_edges"), F.col("r_edges")))
+    rounding = _reach() * g.NEAR
+    runs = _once(pairs, "_runs", g.clipped(F.col("l_edges"), F.col("r_edges")), lambda r: g.runs_length(r) > rounding)
+    return runs.withColumns({"length": g.runs_length(F.col("_runs")), "parts": g.runs_parts(F.col("_runs"))}).drop("_runs")
 
 
 def box_semi(left: DataFrame, right: DataFrame, size: float, key: str) -> DataFrame:

@@ -120,14 +120,15 @@ def structures(zones: DataFrame, features: DataFrame, size: float) -> DataFrame:
 
 
 def affected_lines(zones: DataFrame, features: DataFrame, size: float, unit: float = 1000.0) -> DataFrame:
-    """``infrastructure_type, feature_value, osm_id, linkno, length_km`` and the layer of each clipped line."""
+    """``infrastructure_type, feature_value, osm_id, linkno, length_km``, the layer and ``parts``, the geometry, of each
+    clipped line."""
     lines = tags.classify(features, TRANSPORT, "infrastructure_type", "feature_value")
     pairs = spatial.overlay_length(lines, zones, size)
     layer = F.when(F.col("l_infrastructure_type") == "railway", "railways").when(F.col("l_feature_value") == "motorway", "motorways").otherwise("highways")
     kept = [F.col(f"l_{n}").alias(n) for n in ("osm_id", "name", "ref") if f"l_{n}" in pairs.columns]
     return pairs.select(
         F.col("l_infrastructure_type").alias("infrastructure_type"), F.col("l_feature_value").alias("feature_value"), *kept,
-        F.col("r_linkno").alias("linkno"), (F.col("length") / unit).alias("length_km"), layer.alias("layer"),
+        F.col("r_linkno").alias("linkno"), (F.col("length") / unit).alias("length_km"), layer.alias("layer"), "parts",
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 from freshet import diagnostics
 from freshet import vocabulary as v
 from freshet.functions import geometry as g
+from freshet.functions import wkb
 from freshet.functions import projections as p
 from freshet.functions import text
 from freshet.geography import duckdb, relation, shapes
 from freshet.operators import raster, reports, spatial, tags
 from freshet.plans import impact
+from freshet.sources import geotiff, vector
+from freshet.workspace import new_folder, on_disk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,16 +196,39 @@ def utm_zone(spark, d):
     return relation(spark, d, "places").select("place_id", p.utm_zone(F.col("lon")).alias("zone"), p.utm_epsg(F.col("lon"), F.col("lat")).alias("epsg"))
 
 
-@query()
+_N = p.FLATTENING / (2 - p.FLATTENING)
+_C = 2 * _N**0.5 / (1 + _N)
+_SERIES = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
+_K0 = 0.9996 * p.A / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+
+
+def _kruger(own: str, along: str, across: str, outer: str) -> str:
+    return own + "".join(f" + {a!r} * {along}({2 * j} * xi) * {across}({2 * j} * eta)" for j, a in enumerate(_SERIES, 1)) + outer
+
+
+_UTM = f""", a AS (SELECT place_id, lat, sin(radians(lat)) AS s, radians(lon - ((CAST(floor((lon + 180) / 6) AS INT) % 60 + 1) * 6 - 183)) AS lam FROM places),
+b AS (SELECT place_id, lat, lam, sinh(atanh(s) - {_C!r} * atanh({_C!r} * s)) AS t FROM a),
+c AS (SELECT place_id, lat, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM b)
+SELECT place_id, round(({_kruger('eta', 'cos', 'sinh', '')}) * {_K0!r} + 500000, 3) AS x,
+  round(({_kruger('xi', 'sin', 'cosh', '')}) * {_K0!r} + CASE WHEN lat < 0 THEN 10000000 ELSE 0 END, 3) AS y FROM c"""
+
+
+@query(_UTM, "places")
 def utm_forward(spark, d):
     c = p.utm_forward(F.col("lon"), F.col("lat"))
-    return relation(spark, d, "places").select("place_id", c["x"].alias("x"), c["y"].alias("y"))
+    return relation(spark, d, "places").select("place_id", F.round(c["x"], 3).alias("x"), F.round(c["y"], 3).alias("y"))
 
 
-@query()
+#: Newton's steps for the auxiliary angle, one table each.
+_NEWTON = "".join(f", t{i} AS (SELECT place_id, lon, w, t - (2 * t + sin(2 * t) - w) / (2 + 2 * cos(2 * t)) AS t FROM t{i - 1})" for i in range(1, 13))
+_MOLLWEIDE = f""", t0 AS (SELECT place_id, lon, pi() * sin(radians(lat)) AS w, radians(lat) * 0.95 AS t FROM places){_NEWTON}
+SELECT place_id, round({p.A!r} * 2 * sqrt(2) / pi() * radians(lon) * cos(t), 3) AS x, round({p.A!r} * sqrt(2) * sin(t), 3) AS y FROM t12"""
+
+
+@query(_MOLLWEIDE, "places")
 def mollweide_forward(spark, d):
     c = p.mollweide_forward(F.col("lon"), F.col("lat"))
-    return relation(spark, d, "places").select("place_id", c["x"].alias("x"), c["y"].alias("y"))
+    return relation(spark, d, "places").select("place_id", F.round(c["x"], 3).alias("x"), F.round(c["y"], 3).alias("y"))
 
 
 @query("""SELECT linkno, sqrt(pow((minx + maxx) / 2, 2) + pow((miny + maxy) / 2, 2)) AS distance,
@@ -273,12 +300,14 @@ def overlay_area_by_basin(spark, d):
     return pairs.groupBy(F.col("r_linkno").alias("linkno")).agg(F.round(F.sum("area"), 6).alias("area"))
 
 
-_FEW = "few AS (SELECT * FROM crops WHERE minx < 40)"
+_MORE = "more AS (SELECT * FROM basins UNION ALL SELECT 99, 1000, 1000, 1016, 1016)"
 
 
-@query(f", {_FEW} SELECT b.linkno, round(coalesce(sum(CASE WHEN a.crop_id IS NOT NULL THEN {OVERLAP} END), 0), 6) AS area_km2 FROM basins b LEFT JOIN few a ON {TOUCH} GROUP BY b.linkno", "basins", "crops")
+@query(f", {_MORE} SELECT b.linkno, round(coalesce(sum(CASE WHEN a.crop_id IS NOT NULL THEN {OVERLAP} END), 0), 6) AS area_km2 FROM more b LEFT JOIN crops a ON {TOUCH} GROUP BY b.linkno", "basins", "crops")
 def overlay_area_zero_fill(spark, d):
-    out = impact.farmland(shapes(spark, d, "basins"), shapes(spark, d, "crops").where("minx < 40"), CELL, unit=1.0)
+    off = spark.createDataFrame([(99, 1000.0, 1000.0, 1016.0, 1016.0)], "linkno long, minx double, miny double, maxx double, maxy double")
+    zones = spatial.with_box(relation(spark, d, "basins").unionByName(off).select("linkno", g.rectangle().alias("rings")))
+    out = impact.farmland(zones, shapes(spark, d, "crops"), CELL, unit=1.0)
     return out.withColumn("area_km2", F.round("area_km2", 6))
 
 
@@ -309,21 +338,134 @@ def length_by_infra_type(spark, d):
     return out.groupBy("infrastructure_type").agg(F.round(F.sum("length_km"), 6).alias("length_km"))
 
 
+# Zones turned by 45 degrees (u = x + y, v = y - x): squares, and L-shapes with a hole, of rectangles in u and v. A road
+# runs along an axis, so u and v are linear along it, and its part in a rectangle is one interval.
+_TURNED = """turned AS (SELECT linkno, minx + miny AS u, miny - minx AS v FROM basins),
+rect AS (SELECT linkno, 'square' AS shape, u AS u1, v AS v1, u + 12 AS u2, v + 12 AS v2 FROM turned
+  UNION ALL SELECT linkno, 'ell', u, v, u + 2, v + 12 FROM turned UNION ALL SELECT linkno, 'ell', u + 4, v, u + 12, v + 4 FROM turned
+  UNION ALL SELECT linkno, 'ell', u + 2, v, u + 4, v + 1 FROM turned UNION ALL SELECT linkno, 'ell', u + 2, v + 3, u + 4, v + 12 FROM turned),
+way AS (SELECT osm_id, x1, y1, x2, y2, x1 + y1 AS ua, x2 + y2 AS ub, y1 - x1 AS va, y2 - x2 AS vb FROM roads),
+part AS (SELECT osm_id, linkno, shape, x1, y1, x2, y2, greatest(0, least((u1 - ua) / (ub - ua), (u2 - ua) / (ub - ua)), least((v1 - va) / (vb - va), (v2 - va) / (vb - va))) AS k1,
+  least(1, greatest((u1 - ua) / (ub - ua), (u2 - ua) / (ub - ua)), greatest((v1 - va) / (vb - va), (v2 - va) / (vb - va))) AS k2 FROM way JOIN rect
+  ON least(ua, ub) <= u2 AND greatest(ua, ub) >= u1 AND least(va, vb) <= v2 AND greatest(va, vb) >= v1)"""
+
+
+def _turned(spark, d, shape: str) -> DataFrame:
+    """``square`` zones, or ``ell`` ones: concave, with a hole of 2 by 2."""
+    corners = {"square": [[(0, 0), (12, 0), (12, 12), (0, 12)]], "ell": [[(0, 0), (12, 0), (12, 4), (4, 4), (4, 12), (0, 12)], [(2, 1), (2, 3), (4, 3), (4, 1)]]}[shape]
+    u, w = "(minx + miny)", "(miny - minx)"
+
+    def at(a, b):
+        x, y = f"({u} + {a} - ({w} + {b})) / 2", f"({u} + {a} + {w} + {b}) / 2"
+        return f"named_struct('x', CAST({x} AS DOUBLE), 'y', CAST({y} AS DOUBLE))"
+
+    rings = ", ".join("array(" + ", ".join(at(a, b) for a, b in [*ring, ring[0]]) + ")" for ring in corners)
+    return spatial.with_box(relation(spark, d, "basins").select("linkno", F.expr(f"array({rings})").alias("rings")))
+
+
+@query(f", {_TURNED} SELECT linkno, round(sum(abs(x2 - x1) * (k2 - k1) + abs(y2 - y1) * (k2 - k1)), 6) AS length FROM part WHERE shape = 'ell' AND k2 > k1 GROUP BY linkno", "basins", "roads")
+def overlay_line_length_turned(spark, d):
+    pairs = spatial.overlay_length(shapes(spark, d, "roads"), _turned(spark, d, "ell"), CELL)
+    return pairs.groupBy(F.col("r_linkno").alias("linkno")).agg(F.round(F.sum("length"), 6).alias("length"))
+
+
+@query(f""", {_TURNED} SELECT osm_id, linkno, round(x1 + (x2 - x1) * k1, 6) AS x_from, round(y1 + (y2 - y1) * k1, 6) AS y_from,
+  round(x1 + (x2 - x1) * k2, 6) AS x_to, round(y1 + (y2 - y1) * k2, 6) AS y_to FROM part WHERE shape = 'square' AND k2 > k1""", "basins", "roads")
+def clipped_lines_turned(spark, d):
+    pairs = spatial.overlay_length(shapes(spark, d, "roads"), _turned(spark, d, "square"), CELL)
+    ends = pairs.select("l_osm_id", "r_linkno", F.col("parts")[0][0].alias("a"), F.element_at(F.element_at("parts", -1), -1).alias("b"))
+    return ends.select(
+        F.col("l_osm_id").alias("osm_id"), F.col("r_linkno").alias("linkno"), F.round("a.x", 6).alias("x_from"), F.round("a.y", 6).alias("y_from"),
+        F.round("b.x", 6).alias("x_to"), F.round("b.y", 6).alias("y_to"),
+    )
+
+
+_CLIP_ENDS = ", ".join(f"CASE WHEN {c}1 <= {c}2 THEN greatest(least({c}1, {c}2), b.min{c}) ELSE least(greatest({c}1, {c}2), b.max{c}) END AS {c}_from, CASE WHEN {c}1 <= {c}2 THEN least(greatest({c}1, {c}2), b.max{c}) ELSE greatest(least({c}1, {c}2), b.min{c}) END AS {c}_to" for c in "xy")
+
+
+@query(f", line AS (SELECT osm_id, x1, y1, x2, y2, {ROAD} FROM roads WHERE {_any(v.TRANSPORT)}) SELECT osm_id, linkno, {_CLIP_ENDS} FROM line a JOIN basins b ON {TOUCH} WHERE {CLIP} > 0", "basins", "roads")
+def clipped_lines(spark, d):
+    lines = impact.affected_lines(shapes(spark, d, "basins"), shapes(spark, d, "roads"), CELL)
+    ends = lines.select("osm_id", "linkno", F.col("parts")[0][0].alias("a"), F.element_at(F.element_at("parts", -1), -1).alias("b"))
+    return ends.select("osm_id", "linkno", F.col("a.x").alias("x_from"), F.col("b.x").alias("x_to"), F.col("a.y").alias("y_from"), F.col("b.y").alias("y_to"))
+
+
+# --- files: written and read back ------------------------------------------------------------------------------------
+
+_POLYGONS = "SELECT osm_id, coalesce(building, '') AS building, minx, miny, maxx, maxy FROM buildings"
+
+
+def _written(spark, d) -> DataFrame:
+    """Buildings with WKB geometry."""
+    rings = relation(spark, d, "buildings").select("osm_id", F.coalesce("building", F.lit("")).alias("building"), g.rectangle().alias("rings"))
+    return rings.select("osm_id", "building", wkb.encoded(F.lit(3), F.col("rings")).alias("geometry"))
+
+
+def _read(df: DataFrame) -> DataFrame:
+    box = g.bbox(F.col("rings"))
+    shaped = wkb.decoded(df).select(F.col("osm_id").cast("long").alias("osm_id"), F.coalesce("building", F.lit("")).alias("building"), box.alias("b"))
+    return shaped.select("osm_id", "building", "b.*")
+
+
+@query(_POLYGONS, "buildings")
+def geojson_round_trip(spark, d):
+    path = new_folder(spark, "geojson")
+    vector.write_geojson(_written(spark, d), path)
+    return _read(vector.read_geojson(spark, path))
+
+
+@query(_POLYGONS, "buildings")
+def wkb_parquet_round_trip(spark, d):
+    path = new_folder(spark, "wkb") + ".parquet"
+    _written(spark, d).withColumn("geometry", F.hex("geometry")).write.parquet(path)
+    return _read(vector.read_vector(spark, path))
+
+
+@query(_POLYGONS, "buildings")
+def gpkg_round_trip(spark, d):
+    path = on_disk(new_folder(spark, "buildings") + ".gpkg")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    vector.write_gpkg({"buildings": _written(spark, d)}, path)
+    return _read(vector.read_gpkg(spark, path, "Polygon"))
+
+
+@query("SELECT place_id, lon, lat FROM places", "places")
+def shapefile_round_trip(spark, d):
+    path = on_disk(new_folder(spark, "places") + ".shp")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    vector.write_point_shapefile(relation(spark, d, "places"), path, "lon", "lat")
+    point = F.col("rings")[0][0]
+    return wkb.decoded(vector.read_shapefile(spark, path)).select(F.col("place_id").cast("long").alias("place_id"), point["x"].alias("lon"), point["y"].alias("lat"))
+
+
+@query("SELECT row, col, CAST(sum(value) AS DOUBLE) AS value FROM cover_pixels GROUP BY row, col", "cover_pixels")
+def geotiff_round_trip(spark, d):
+    path = new_folder(spark, "tiles")
+    pixels = relation(spark, d, "cover_pixels").groupBy("row", "col").agg(F.sum("value").alias("value"))
+    geotiff.write_tiles(pixels, path, [0.0, 1.5, 0.0, 0.0, 0.0, -1.5], 64, "int32")
+    return geotiff.read_pixels(spark, path).where("value <> 0").unionByName(_zeros(pixels), allowMissingColumns=True).select("row", "col", "value")
+
+
+def _zeros(pixels: DataFrame) -> DataFrame:
+    """Nodata, which a raster does not tell from places that no pixel has."""
+    return pixels.where("value = 0").select("row", "col", F.col("value").cast("double").alias("value"))
+
+
 # --- rasters ---------------------------------------------------------------------------------------------------------
 
 _PEOPLE = "people AS (SELECT * FROM pop_pixels WHERE value > 0 AND NOT isnan(value))"
 _CENTRE = "(a.minx + a.maxx) / 2 BETWEEN b.minx AND b.maxx AND (a.miny + a.maxy) / 2 BETWEEN b.miny AND b.maxy"
 
 
-@query(f", {_PEOPLE} SELECT round(coalesce(sum(value), 0), 4) AS total_population FROM people WHERE pixel_id IN (SELECT pixel_id FROM people a JOIN basins b ON {TOUCH} WHERE linkno < 12)", "basins", "pop_pixels")
+@query(f", {_PEOPLE} SELECT round(coalesce(sum(value), 0), 4) AS total_population FROM people WHERE pixel_id IN (SELECT pixel_id FROM people a JOIN basins b ON {TOUCH})", "basins", "pop_pixels")
 def zonal_union_sum(spark, d):
-    out = impact.population(shapes(spark, d, "basins").where("linkno < 12"), shapes(spark, d, "pop_pixels"), CELL, "pixel_id")
+    out = impact.population(shapes(spark, d, "basins"), shapes(spark, d, "pop_pixels"), CELL, "pixel_id")
     return out.select(F.round("total_population", 4).alias("total_population"))
 
 
-@query(f", {_PEOPLE} SELECT round(coalesce(sum(value), 0), 4) AS total_population FROM people WHERE pixel_id IN (SELECT pixel_id FROM people a JOIN basins b ON {_CENTRE} WHERE linkno < 12)", "basins", "pop_pixels")
+@query(f", {_PEOPLE} SELECT round(coalesce(sum(value), 0), 4) AS total_population FROM people WHERE pixel_id IN (SELECT pixel_id FROM people a JOIN basins b ON {_CENTRE})", "basins", "pop_pixels")
 def zonal_center_sum(spark, d):
-    out = impact.population(shapes(spark, d, "basins").where("linkno < 12"), shapes(spark, d, "pop_pixels"), CELL, "pixel_id", all_touched=False)
+    out = impact.population(shapes(spark, d, "basins"), shapes(spark, d, "pop_pixels"), CELL, "pixel_id", all_touched=False)
     return out.select(F.round("total_population", 4).alias("total_population"))
 
 
@@ -354,10 +496,9 @@ def raster_mosaic_first(spark, d):
     return raster.mosaic_first(df, "pixel_id", "r", "c")
 
 
-@query(f"SELECT DISTINCT pixel_id {PAIRS.format('cover_pixels')} WHERE linkno IN (0, 6, 12)", "basins", "cover_pixels")
+@query(f"SELECT DISTINCT pixel_id {PAIRS.format('cover_pixels')}", "basins", "cover_pixels")
 def tile_prune_semi(spark, d):
-    zones = shapes(spark, d, "basins").where("linkno in (0, 6, 12)")
-    return spatial.box_semi(shapes(spark, d, "cover_pixels"), zones, CELL, "pixel_id").select("pixel_id")
+    return spatial.box_semi(shapes(spark, d, "cover_pixels"), shapes(spark, d, "basins"), CELL, "pixel_id").select("pixel_id")
 
 
 @query("SELECT tile, count(*) AS cells, CAST(count(*) AS DOUBLE) AS area FROM cover_pixels WHERE value = 40 GROUP BY tile", "cover_pixels")
@@ -367,25 +508,19 @@ def polygonize_area(spark, d):
     return traced.groupBy(F.col("tile").cast("int").alias("tile")).agg(F.sum("cells").alias("cells"), F.sum("area").alias("area"))
 
 
-@query(f""", inside AS (SELECT DISTINCT pixel_id, value FROM cover_pixels a JOIN basins b ON {_CENTRE} WHERE linkno < 12 AND value <> 0)
+@query(f""", inside AS (SELECT DISTINCT pixel_id, value FROM cover_pixels a JOIN basins b ON {_CENTRE} WHERE value <> 0)
 SELECT count(*) FILTER (WHERE value = 40) AS total_farmland_cells, count(*) AS total_valid_cells, round(count(*) FILTER (WHERE value = 40) * CAST(0.0001 AS DOUBLE), 6) AS total_farmland_area_km2,
   round(count(*) * CAST(0.0001 AS DOUBLE), 6) AS total_area_km2, round(count(*) FILTER (WHERE value = 40) / CAST(count(*) AS DOUBLE) * 100, 6) AS farmland_percentage FROM inside""", "basins", "cover_pixels")
 def farmland_raster_area(spark, d):
-    out = impact.farmland_raster(shapes(spark, d, "basins").where("linkno < 12"), shapes(spark, d, "cover_pixels"), CELL, "pixel_id")
+    out = impact.farmland_raster(shapes(spark, d, "basins"), shapes(spark, d, "cover_pixels"), CELL, "pixel_id")
     return out.withColumns({c: F.round(c, 6) for c in ("total_farmland_area_km2", "total_area_km2", "farmland_percentage")})
 
 
 # --- sets, tops and reports ------------------------------------------------------------------------------------------
 
 
-@query("SELECT osm_id, building, CAST(NULL AS VARCHAR) AS highway FROM buildings WHERE osm_id < 200 UNION ALL SELECT osm_id, NULL, highway FROM roads WHERE osm_id < 200", "buildings", "roads")
-def union_schema_drift(spark, d):
-    a = relation(spark, d, "buildings").where("osm_id < 200").select("osm_id", "building")
-    return a.unionByName(relation(spark, d, "roads").where("osm_id < 200").select("osm_id", "highway"), allowMissingColumns=True)
-
-
 @query("SELECT osm_id, building, CAST(NULL AS VARCHAR) AS highway FROM buildings UNION ALL SELECT osm_id, NULL, highway FROM roads", "buildings", "roads")
-def union_schema_drift_whole(spark, d):
+def union_schema_drift(spark, d):
     a = relation(spark, d, "buildings").select("osm_id", "building")
     return a.unionByName(relation(spark, d, "roads").select("osm_id", "highway"), allowMissingColumns=True)
 

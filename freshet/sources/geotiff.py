@@ -8,6 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,6 +131,31 @@ def read_pixels(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumn("tile", F.xxhash64("path"))
 
 
+def write_tiles(pixels: DataFrame, path: str, gt: list[float], side: int = 1024, dtype: str = "uint8", epsg: int = 4326, nodata: float = 0) -> None:
+    """``row, col, value`` pixels as one-band GeoTIFFs of ``side`` by ``side`` pixels under ``path``, written through
+    the Hadoop file system that ``path`` names. Places without a pixel, and null values, are ``nodata``; of repeated
+    pixels the greatest counts. Tiles are made by tasks, one each, and come to the driver one by one."""
+    spark = ensure_importable(pixels.sparkSession)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+    def tile(table: pa.Table) -> pa.Table:
+        top, left = table["tr"][0].as_py(), table["tc"][0].as_py()
+        image = np.full((side, side), nodata, dtype=dtype)
+        some = table.filter(pc.is_valid(table["value"]))
+        order = np.argsort(some["value"].to_numpy(), kind="stable")
+        image[some["row"].to_numpy()[order] - top * side, some["col"].to_numpy()[order] - left * side] = some["value"].to_numpy()[order]
+        place = [gt[0] + left * side * gt[1], gt[1], 0.0, gt[3] + top * side * gt[5], 0.0, gt[5]]
+        return pa.table({"name": [f"tile-{top}-{left}.tif"], "content": pa.array([encode(image, place, epsg, nodata)], pa.binary())})
+
+    placed = pixels.select(F.floor(F.col("row") / side).alias("tr"), F.floor(F.col("col") / side).alias("tc"), F.col("row").cast("long"), F.col("col").cast("long"), F.col("value").cast("double"))
+    tiles = placed.groupBy("tr", "tc").applyInArrow(tile, "name string, content binary")
+    for row in tiles.toLocalIterator():  # one tile at a time: Spark has no writer of files by name
+        out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(spark._jvm.org.apache.hadoop.fs.Path(target, row["name"]), True)
+        out.write(bytes(row["content"]))
+        out.close()
+
+
 def encode(pixels: np.ndarray, gt: list[float], epsg: int = 4326, nodata: float | None = 0, block: int = 256) -> bytes:
     """A deflated, tiled, one-band GeoTIFF."""
     height, width = pixels.shape

@@ -167,8 +167,8 @@ def read_elements(spark: SparkSession, *paths: str) -> DataFrame:
 def read_pbf(spark: SparkSession, *paths: str, box: tuple[float, float, float, float] | None = None) -> DataFrame:
     """``geometry`` (WKB), ``osm_id, osm_type, tags, tags_json, name, feature_class``.
 
-    Nodes are points, ways of two located nodes or more are lines, closed ways that are tagged as areas and
-    multipolygon relations are areas. ``box`` keeps nodes in it and ways and areas with a vertex in it.
+    Nodes are points, ways of two located nodes or more are lines; every closed way with tags, none of them ``area=no``, is an
+    area besides, as are multipolygon relations. ``box`` keeps nodes in it and ways and areas with a vertex in it.
     """
     parts = read_elements(spark, *paths)
     nodes = parts.where("kind = 'node' and lon is not null")
@@ -180,8 +180,7 @@ def read_pbf(spark: SparkSession, *paths: str, box: tuple[float, float, float, f
 
     def is_area() -> Column:
         closed = (F.size("points") >= 4) & (F.element_at("points", 1) == F.element_at("points", -1))
-        keys = F.map_keys("tags")
-        return closed & (F.arrays_overlap(keys, F.array(*map(F.lit, ("building", "landuse", "natural", "amenity", "leisure")))) | (F.col("tags")["area"] == "yes"))
+        return closed & (F.size(F.map_keys("tags")) > 0) & (F.coalesce(F.col("tags")["area"], F.lit("")) != "no")
 
     members = parts.where("kind = 'relation' and tags['type'] = 'multipolygon'").select("id", "tags", F.explode("refs").alias("m"))
     rings = members.select("id", "tags", F.col("m.pos").alias("pos"), F.col("m.role").alias("role"), F.col("m.ref").alias("way"))

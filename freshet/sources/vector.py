@@ -7,6 +7,7 @@ line-wise GeoJSON are split as Spark splits them.
 from __future__ import annotations
 
 import json
+import math
 import os
 import sqlite3
 import struct
@@ -42,9 +43,9 @@ def read_vector(spark: SparkSession, path: str, keys: Sequence[int] | None = Non
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Properties and WKB geometry of the features of feature collections."""
+    """Properties and WKB geometry of the features of feature collections, or of files with one feature a line."""
     ensure_importable(spark)
-    raw = spark.read.option("multiLine", True).json(path)
+    raw = spark.read.option("multiLine", not _is_feature(spark.read.text(path).where("trim(value) <> ''").first())).json(path)
     flat = raw.select(F.explode("features").alias("f")) if "features" in raw.columns else raw.select(F.struct("*").alias("f"))
     text = flat.select(F.to_json("f.geometry").alias("_g"), "f.properties.*")
 
@@ -55,6 +56,15 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     return text.withColumn("geometry", to_wkb("_g")).drop("_g")
 
 
+def _is_feature(line) -> bool:
+    """Whether a line of text is a whole feature."""
+    try:
+        shape = json.loads(line[0]) if line else None
+    except ValueError:
+        return False
+    return isinstance(shape, dict) and shape.get("type") == "Feature"
+
+
 def _parts(kind: str, c) -> list:
     if kind == "Point":
         return [[tuple(c[:2])]]
@@ -176,6 +186,8 @@ def write_gpkg(layers: dict[str, DataFrame], path: str, srid: int = 4326) -> Non
         "CREATE TABLE gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT NOT NULL, identifier TEXT, description TEXT DEFAULT '', last_change TEXT, min_x DOUBLE, min_y DOUBLE, max_x DOUBLE, max_y DOUBLE, srs_id INTEGER);"
         "CREATE TABLE gpkg_geometry_columns (table_name TEXT NOT NULL, column_name TEXT NOT NULL, geometry_type_name TEXT NOT NULL, srs_id INTEGER NOT NULL, z TINYINT NOT NULL, m TINYINT NOT NULL, PRIMARY KEY (table_name, column_name));"
     )
+    for name, code in (("Undefined cartesian SRS", -1), ("Undefined geographic SRS", 0)):
+        db.execute("INSERT INTO gpkg_spatial_ref_sys VALUES (?, ?, 'NONE', ?, 'undefined', NULL)", (name, code, code))
     db.execute("INSERT INTO gpkg_spatial_ref_sys VALUES (?, ?, 'EPSG', ?, 'undefined', NULL)", (f"EPSG:{srid}", srid, srid))
     types = {"bigint": "INTEGER", "int": "INTEGER", "double": "REAL", "float": "REAL", "binary": "BLOB"}
     for layer, df in layers.items():
@@ -186,8 +198,13 @@ def write_gpkg(layers: dict[str, DataFrame], path: str, srid: int = 4326) -> Non
         db.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geometry', 'GEOMETRY', ?, 0, 0)", (layer, srid))
         head = b"GP\x00\x01" + struct.pack("<i", srid)
         marks = ", ".join("?" * (len(names) + 2))
+        box = [math.inf, math.inf, -math.inf, -math.inf]
         for i, row in enumerate(df.select(*names, "geometry").toLocalIterator()):
             db.execute(f'INSERT INTO "{layer}" VALUES ({marks})', (i + 1, *row[:-1], None if row[-1] is None else head + bytes(row[-1])))
+            for px, py in (p for ring in (wkb.decode(bytes(row[-1]))[1] if row[-1] else ()) for p in ring):
+                box = [min(box[0], px), min(box[1], py), max(box[2], px), max(box[3], py)]
+        if box[0] <= box[2]:
+            db.execute("UPDATE gpkg_contents SET min_x = ?, min_y = ?, max_x = ?, max_y = ? WHERE table_name = ?", (*box, layer))
     db.commit()
     db.close()
     os.replace(own, path)
@@ -269,7 +286,8 @@ def read_shapefile(spark: SparkSession, path: str) -> DataFrame:
 
 def write_point_shapefile(df: DataFrame, path: str, x: str = "x", y: str = "y") -> None:
     """Points with text attributes; names are cut to ten characters, as the format has it. One file on the driver's
-    disk, for exports."""
+    disk, for exports; rows come to it one partition at a time and go to it one by one. Values longer than the 254 bytes
+    that the format allows are cut between characters."""
     names = [c for c in df.columns if c not in (x, y)]
     shorts, taken = [], set()
     for n in names:
@@ -278,25 +296,32 @@ def write_point_shapefile(df: DataFrame, path: str, x: str = "x", y: str = "y")
             s, k = f"{n[:8]}_{k}", k + 1
         taken.add(s)
         shorts.append(s)
-    rows = [([row[c] for c in names], row[x], row[y]) for row in df.toLocalIterator()]
-    base = os.path.splitext(path)[0]
-    xs, ys = [r[1] for r in rows] or [0.0], [r[2] for r in rows] or [0.0]
+    base, width = os.path.splitext(path)[0], 254
+    count, box = 0, [math.inf, math.inf, -math.inf, -math.inf]
+
+    def field(value) -> bytes:
+        return ("" if value is None else str(value)).encode()[:width].decode("utf-8", "ignore").encode().ljust(width)
 
     def header(words: int) -> bytes:
-        return struct.pack(">7i", 9994, 0, 0, 0, 0, 0, words) + struct.pack("<2i8d", 1000, 1, min(xs), min(ys), max(xs), max(ys), 0, 0, 0, 0)
-
-    with open(base + ".shp", "wb") as f, open(base + ".shx", "wb") as index:
-        f.write(header(50 + 14 * len(rows)))
-        index.write(header(50 + 4 * len(rows)))
-        for i, (_, a, b) in enumerate(rows):
-            f.write(struct.pack(">2i", i + 1, 10) + struct.pack("<i2d", 1, a, b))
-            index.write(struct.pack(">2i", 50 + 14 * i, 10))
-    with open(base + ".dbf", "wb") as f:
-        width = 80
-        f.write(struct.pack("<4BIHH20x", 3, 126, 1, 1, len(rows), 33 + 32 * len(names), 1 + width * len(names)))
+        return struct.pack(">7i", 9994, 0, 0, 0, 0, 0, words) + struct.pack("<2i8d", 1000, 1, *(box if count else [0.0] * 4), 0, 0, 0, 0)
+
+    with open(base + ".shp", "wb") as shp, open(base + ".shx", "wb") as index, open(base + ".dbf", "wb") as dbf:
+        for f in (shp, index):
+            f.write(b"\0" * 100)  # headers need the count and the box, which the last row completes
+        dbf.write(b"\0" * 32)
         for s in shorts:
-            f.write(struct.pack("<11sc4xBB14x", s.encode("latin-1", "replace"), b"C", width, 0))
-        f.write(b"\x0d")
-        for values, _, _ in rows:
-            f.write(b" " + b"".join(("" if v is None else str(v)).encode()[:width].ljust(width) for v in values))
-        f.write(b"\x1a")
+            dbf.write(struct.pack("<11sc4xBB14x", s.encode("latin-1", "replace"), b"C", width, 0))
+        dbf.write(b"\x0d")
+        for row in df.toLocalIterator():
+            a, b = row[x], row[y]
+            shp.write(struct.pack(">2i", count + 1, 10) + struct.pack("<i2d", 1, a, b))
+            index.write(struct.pack(">2i", 50 + 14 * count, 10))
+            dbf.write(b" " + b"".join(field(row[c]) for c in names))
+            box = [min(box[0], a), min(box[1], b), max(box[2], a), max(box[3], b)]
+            count += 1
+        dbf.write(b"\x1a")
+        for f, words in ((shp, 14), (index, 4)):
+            f.seek(0)
+            f.write(header(50 + words * count))
+        dbf.seek(0)
+        dbf.write(struct.pack("<4BIHH20x", 3, 126, 1, 1, count, 33 + 32 * len(names), 1 + width * len(names)))

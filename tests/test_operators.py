@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -213,3 +214,27 @@ def test_text_and_ledger(spark, tmp_path):
     assert {r.duration_formatted for r in rows.where("analysis = 'Bad'").collect()} == {"N/A"}
     assert speed.first().succeeded == 1
     assert reports.speedup(ledger.limit(0), 1.0).first().total_seconds == 0
+
+
+def test_borders_at_general_coordinates(spark):
+    """Turned unit squares that share an edge: no area in common, and a line along the edge lies in both."""
+    rng = random.Random(3)
+    left, right, lines = [], [], []
+    for i in range(120):
+        x, y, turn = rng.uniform(-50, 50), rng.uniform(-50, 50), rng.uniform(0, math.pi)
+        c, s = math.cos(turn), math.sin(turn)
+        at = lambda a, b: (x + a * c - b * s, y + a * s + b * c)  # noqa: B023, E731
+        square = lambda a: [[at(a, 0), at(a + 1, 0), at(a + 1, 1), at(a, 1), at(a, 0)]]  # noqa: B023, E731
+        left.append((i, square(0)))
+        right.append((i, square(1)))
+        lines.append((i, [[at(1, 0.25), at(1, 0.75)]]))
+    schema = "id long, rings array<array<struct<x: double, y: double>>>"
+    a, b, line = (spatial.with_box(spark.createDataFrame(rows, schema)) for rows in (left, right, lines))
+    same = F.col("l_id") == F.col("r_id")
+    assert spatial.overlay_area(a, b, 4.0).where(same).count() == 0
+    assert spatial.spatial_join(a, b, 4.0).where(same).count() == 120
+    for zones in (a, b):
+        found = spatial.overlay_length(line, zones, 4.0).where(same).collect()
+        assert len(found) == 120 and all(abs(r.length - 0.5) < 1e-9 for r in found)
+    touching = spatial.overlay_length(line, b, 4.0).where(same).select(F.size("parts").alias("n"), F.col("parts")[0][0]["x"].alias("x"), F.col("l_minx"), F.col("l_maxx")).collect()
+    assert all(r.n >= 1 and r.l_minx - 1e-9 <= r.x <= r.l_maxx + 1e-9 for r in touching)
