@@ -28,7 +28,7 @@ MAX_LOSS = 832
 #: Share of a document's tokens that are context, where no column says how many are.
 PREFIX = 0.25
 #: Remainders packed together; bounds the heuristic's work and memory.
-WINDOW = 2048
+WINDOW = 512
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
