@@ -275,8 +275,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold:
     text = F.col(text_col).cast("string").alias("text")
     written = save(docs.select(F.spark_partition_id().cast("long").alias("block"), text, role.alias("role"), F.col(id_col).cast("long").alias("doc_id")), "texts")
     given = written
-    size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(shuffle_partitions(spark), -(-size // RANGE_BYTES))
+    size, blocks = given.agg(F.sum(F.octet_length("text")), F.count_distinct("block")).first()
+    parts = max(shuffle_partitions(spark), -(-(size or 0) // RANGE_BYTES))
+    meetings = max(shuffle_partitions(spark), 2 * blocks)  # of a block's texts with its totals: a block or a few each
 
     asked = given.select("block", "text", "role").mapInArrow(_requests(parts), _REQUEST)
     replies = save(asked.repartition(2 * parts, "part", "kind").groupBy("part", "kind").applyInArrow(_answer, _REPLY), "counts")
@@ -298,6 +299,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold:
 
     texts = given.where("role = 2").select("block", "text")
     answers = replies.where("length(keys) > 0").select("block", "kind", "keys", "core")
+    texts, answers = (x.repartition(meetings, "block") for x in (texts, answers))
     rows = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(statistics, "b long, s2 long, s1 long, m long")
     table = rows.groupBy("b", "s2", "s1").agg(F.sum("m").alias("m")).collect()  # buckets x steps x steps at most
     weights = learn_weights([tuple(x) for x in table])
@@ -331,8 +333,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold:
             out["score"].append(np.add.reduceat(np.log10(p), first))
         return pa.table({"doc_id": left["doc_id"], "held_out": pc.equal(left["role"], 0), **{x: np.concatenate(c) for x, c in out.items()}})
 
-    totals = replies.select("block", "kind", "part", "total")
-    out = given.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
+    totals = replies.select("block", "kind", "part", "total").repartition(meetings, "block")
+    out = given.repartition(meetings, "block").groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
         scores, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     out = save(out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"), "scores")
