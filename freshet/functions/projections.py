@@ -86,6 +86,30 @@ def estimate_utm(minx: float, miny: float, maxx: float, maxy: float) -> str:
     return f"utm:{-zone if miny + maxy < 0 else zone}"
 
 
+def epsg(crs: str) -> int | None:
+    """The EPSG code of a projection named here or as ``EPSG:<code>``; None for ``cea`` and ``mollweide``, which have
+    none. Anything else is a ``ValueError``."""
+    if crs.upper().startswith("EPSG:"):
+        return int(crs[5:])
+    if crs == "geographic":
+        return 4326
+    if crs.startswith("utm:"):
+        zone = int(crs[4:])
+        return (32600 if zone > 0 else 32700) + abs(zone)
+    if crs in FORWARD:
+        return None
+    raise ValueError(f"unknown projection: {crs}")
+
+
+#: Geographic coordinate systems that read files may name: WGS84, ETRS89, NAD83, NAD27, and WGS72.
+GEOGRAPHIC = (4326, 4258, 4269, 4267, 4322)
+
+
+def is_geographic(crs: str) -> bool:
+    """Whether coordinates are degrees."""
+    return epsg(crs) in GEOGRAPHIC
+
+
 def reproject(rings: Column, crs: str) -> Column:
     """Every point of ``rings`` (degrees) in the named projection: ``cea``, ``mollweide``, or ``utm:`` with one zone for
     all points, negative in the south. ``geographic`` leaves them as they are."""

@@ -30,5 +30,15 @@ def duration(seconds: Column) -> Column:
     )
 
 
+def thousands(value: Column, decimals: int = 0) -> Column:
+    """``1,234.50``: groups of three digits and a fixed number of decimals."""
+    return F.format_number(value, decimals)
+
+
+def stamp(moment: Column) -> Column:
+    """``2024-05-01 13:00:00``, in the session's time zone."""
+    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+
+
 def none_to_null(text: Column) -> Column:
     return F.nullif(text.cast("string"), F.lit("None"))

@@ -15,6 +15,9 @@ from freshet.functions import geometry as g
 from freshet.operators import reports, spatial, tags
 from freshet.vocabulary import BUILDING, CRITICAL, CROPLAND, PIXEL_KM2, STRUCTURES, TRANSPORT
 
+#: Ranges of distance that zones are ranked in.
+RANGES = 256
+
 
 def requested(zones: DataFrame, keys: Sequence[int] | DataFrame | None) -> DataFrame:
     """Zones of the given keys: a short list is pushed to the scan, a table of keys is a semi-join."""
@@ -32,11 +35,14 @@ def missing_keys(zones: DataFrame, keys: DataFrame) -> DataFrame:
 
 def zones_by_distance(zones: DataFrame, batch: int = 50) -> DataFrame:
     """``linkno, distance, batch``: zones in order of their centroid's distance from the origin, ties by key, and the
-    number of their batch. Ranks come from the sizes of range partitions, so no task sorts everything."""
+    number of their batch. Distances are dealt to ranges between their own quantiles, and ranks add the sizes of the
+    ranges before, so no task sorts everything, whatever the unit of the coordinates. Zones at one distance
+    are one range; those without geometry come last, with a null distance."""
     placed = zones.withColumn("_c", g.centroid(F.col("edges"), F.col("rings")))
     placed = placed.select("linkno", F.sqrt(F.pow("_c.x", 2.0) + F.pow("_c.y", 2.0)).alias("distance"))
-    # the coarse range of a distance is a partition key; ranks add the sizes of all ranges before
-    ranged = placed.withColumn("_range", F.floor(F.col("distance") / 16))
+    quantiles = placed.agg(F.percentile_approx("distance", [i / RANGES for i in range(1, RANGES)], 20 * RANGES).alias("q")).scalar()
+    under = F.size(F.filter("_q", lambda q: q < F.col("distance")))
+    ranged = placed.withColumn("_q", quantiles).withColumn("_range", F.when(F.col("distance").isNotNull(), under).otherwise(RANGES)).drop("_q")
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = sizes.select("_range", before.alias("_base"))

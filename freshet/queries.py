@@ -16,8 +16,8 @@ from freshet.functions import projections as p
 from freshet.functions import text
 from freshet.geography import duckdb, relation, shapes
 from freshet.operators import raster, reports, spatial, tags
-from freshet.plans import impact
-from freshet.sources import geotiff, vector
+from freshet.plans import impact, workflow
+from freshet.sources import files, geotiff, vector
 from freshet.workspace import new_folder, on_disk
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,3 +626,28 @@ def verify_geometries(spark, d):
 @query("SELECT 'highway' AS tag, kind AS value, count(*) AS count FROM (SELECT CASE kind WHEN 'click' THEN 'primary' WHEN 'view' THEN 'residential' ELSE 'track' END AS kind FROM osm_tags) GROUP BY kind UNION ALL SELECT 'railway', kind, count(*) FROM (SELECT CASE kind WHEN 'purchase' THEN 'rail' ELSE 'abandoned' END AS kind FROM osm_tags) GROUP BY kind", "osm_tags")
 def tag_values_report(spark, d):
     return diagnostics.tag_report(relation(spark, d, "osm_tags"), ("highway", "railway"))
+
+
+@query("SELECT c_custkey, format('{:,.2f}', c_acctbal) AS balance, format('{:,}', c_custkey * 1000) AS number FROM customer")
+def thousands_format(spark, d):
+    rows = spark.read.parquet(f"{d}/customer.parquet")
+    return rows.select("c_custkey", text.thousands(F.col("c_acctbal"), 2).alias("balance"), text.thousands(F.col("c_custkey") * 1000).alias("number"))
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def csv_round_trip(spark, d):
+    first, last = new_folder(spark, "csv"), new_folder(spark, "csv")
+    spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name", "n_regionkey").write.option("header", True).csv(first)
+    files.copy(spark, first, last)
+    files.rename(spark, last, last + "_renamed")
+    files.remove(spark, first)
+    return files.read_csv(spark, last + "_renamed", "n_nationkey long, n_name string, n_regionkey long")
+
+
+@query(f", sums AS (SELECT b.linkno, round(coalesce(sum(CASE WHEN a.crop_id IS NOT NULL THEN {OVERLAP} END), 0), 6) AS area_km2 FROM basins b LEFT JOIN crops a ON {TOUCH} GROUP BY b.linkno), "
+       "dealt AS (SELECT linkno, CAST(floor((row_number() OVER (ORDER BY sqrt(pow((minx + maxx) / 2, 2) + pow((miny + maxy) / 2, 2)), linkno) - 1) / 10.0) AS BIGINT) AS batch FROM basins) "
+       "SELECT linkno, area_km2, batch FROM sums JOIN dealt USING (linkno)", "basins", "crops")
+def farmland_in_batches(spark, d):
+    zones, crops, folder = shapes(spark, d, "basins"), shapes(spark, d, "crops"), new_folder(spark, "batches")
+    workflow.run_batches(spark, zones, lambda own: impact.farmland(own, crops, CELL, unit=1.0), folder, 10)
+    return workflow.batch_results(spark, folder).select("linkno", F.round("area_km2", 6).alias("area_km2"), F.col("batch").cast("long").alias("batch"))

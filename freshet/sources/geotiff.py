@@ -100,10 +100,18 @@ def blocks(data: bytes) -> Iterator[tuple[int, int, np.ndarray]]:
         yield r, c, a[: height - r, : width - c, 0].astype(a.dtype.newbyteorder("="))
 
 
-def read_headers(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each tile: ``name, width, height, gt, crs, nodata, dtype, bands``."""
+def _files(spark: SparkSession, path: str) -> DataFrame:
     ensure_importable(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path).select("path", "content")
+    if not files.inputFiles():
+        raise FileNotFoundError(f"no *.tif under {path}")
+    return files
+
+
+def read_headers(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each tile: ``name, width, height, gt, crs, nodata, dtype, bands``; ``FileNotFoundError`` if there is
+    no tile."""
+    files = _files(spark, path)
 
     def rows(batches):
         for pdf in batches:
@@ -114,9 +122,8 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pixels(spark: SparkSession, path: str) -> DataFrame:
     """``tile, row, col, value, minx, miny, maxx, maxy`` of every pixel of every tile under ``path``; ``tile`` numbers
-    the file by its path. A task holds one block at a time beside its file."""
-    ensure_importable(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tif").load(path).select("path", "content")
+    the file by its path. A task holds one block at a time beside its file. ``FileNotFoundError`` if there is no tile."""
+    files = _files(spark, path)
 
     def rows(batches):
         for pdf in batches:

@@ -234,6 +234,11 @@ def _within(p: tuple[float, float], ring: list[tuple[float, float]]) -> bool:
     return odd
 
 
+def counts_by_kind(elements: DataFrame) -> DataFrame:
+    """``osm_type, features`` of what :func:`read_pbf` or a conversion gives: nodes, ways and areas."""
+    return elements.groupBy("osm_type").agg(F.count(F.lit(1)).alias("features"))
+
+
 def convert(spark: SparkSession, paths: list[str], folder: str) -> DataFrame:
     """Each extract as Parquet under ``folder``; ``input_file, output_file, features_extracted, status`` for each, a
     failed one on its own."""

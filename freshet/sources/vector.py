@@ -12,6 +12,7 @@ import os
 import sqlite3
 import struct
 import tempfile
+import warnings
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -145,14 +146,19 @@ def gpkg_layers(path: str) -> list[tuple[str, str, int]]:
 def read_gpkg(spark: SparkSession, path: str, geometry_type: str | None = None, layers: Sequence[str] | None = None) -> DataFrame:
     """All layers of a GeoPackage one under another, columns by name, with ``layer_name, geometry_type, crs`` and WKB
     ``geometry``. Values of other columns are text, as layers disagree about their types. Empty layers give nothing.
-    ``geometry_type`` keeps one type alone."""
+    ``geometry_type`` keeps one type alone. A layer that can't be opened is left out with a warning."""
     ensure_importable(spark)
     out: DataFrame | None = None
     for layer, column, srid in gpkg_layers(path):
         if layers is not None and layer not in layers:
             continue
-        with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
-            names = [r[1] for r in db.execute(f'PRAGMA table_info("{layer}")') if r[1] != column]
+        try:
+            with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
+                names = [r[0] for r in db.execute(f'SELECT * FROM "{layer}" LIMIT 0').description if r[0] != column]
+                db.execute(f'SELECT "{column}" FROM "{layer}" LIMIT 1').fetchall()
+        except sqlite3.Error as error:
+            warnings.warn(f"{path}, layer {layer}: {error}", stacklevel=2)
+            continue
 
         def rows(batches: Iterator[pd.DataFrame], layer=layer, column=column, srid=srid, names=names) -> Iterator[pd.DataFrame]:
             for _ in batches:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from freshet.functions import geometry as g
 from freshet.functions import projections as p
-from freshet.functions import text
+from freshet.functions import text, wkb
 from freshet.operators import raster, reports, spatial, tags
 from freshet.plans import impact, workflow
+from freshet.sources import files
 from freshet.vocabulary import BUILDING, CRITICAL, HIGHWAY, RAILWAY, STRUCTURES
 
 RINGS = "array<array<struct<x:double,y:double>>>"
@@ -238,3 +239,62 @@ def test_borders_at_general_coordinates(spark):
         assert len(found) == 120 and all(abs(r.length - 0.5) < 1e-9 for r in found)
     touching = spatial.overlay_length(line, b, 4.0).where(same).select(F.size("parts").alias("n"), F.col("parts")[0][0]["x"].alias("x"), F.col("l_minx"), F.col("l_maxx")).collect()
     assert all(r.n >= 1 and r.l_minx - 1e-9 <= r.x <= r.l_maxx + 1e-9 for r in touching)
+
+
+def test_formats_and_codes(spark):
+    row = spark.range(1).select(text.thousands(F.lit(1234567.891), 2).alias("a"), text.thousands(F.lit(None).cast("double")).alias("b"), text.stamp(F.lit("2024-05-01 13:00:00").cast("timestamp")).alias("c")).first()
+    assert tuple(row) == ("1,234,567.89", None, "2024-05-01 13:00:00")
+    names = ("geographic", "utm:16", "utm:-21", "EPSG:32616", "epsg:4269", "cea")
+    assert [p.epsg(n) for n in names] == [4326, 32616, 32721, 32616, 4269, None]
+    assert [p.is_geographic(n) for n in names] == [True, False, False, False, True, False]
+    with pytest.raises(ValueError):
+        p.epsg("flat")
+
+
+def test_zones_by_distance_in_any_unit(spark):
+    rows = [(i, float(i % 40), 0.0) for i in range(400)]
+    for unit in (1e-3, 1e6):
+        zones = spark.createDataFrame([(i, x * unit, y, (x + 1) * unit, y + unit) for i, x, y in rows], "linkno long, minx double, miny double, maxx double, maxy double")
+        zones = spatial.with_box(zones.select("linkno", g.rectangle().alias("rings")))
+        got = {r.linkno: r.batch for r in impact.zones_by_distance(zones, 7).collect()}
+        assert got == {i: n // 7 for n, i in enumerate(sorted(range(400), key=lambda i: (i % 40, i)))}
+    assert impact.zones_by_distance(zones.limit(0)).count() == 0
+    bare = zones.limit(3).unionByName(zones.limit(1).withColumn("linkno", F.lit(-1).cast("long")).withColumns({c: F.lit(None).cast(zones.schema[c].dataType) for c in ("rings", "edges")}))
+    assert [(r.linkno, r.batch) for r in impact.zones_by_distance(bare, 3).where("distance is null").collect()] == [(-1, 1)]
+
+
+def test_batches_fail_alone_and_go_on(spark, tmp_path):
+    zones = spatial.with_box(spark.createDataFrame([(i, float(i), 0.0, i + 1.0, 1.0) for i in range(5)], "linkno long, minx double, miny double, maxx double, maxy double").select("linkno", g.rectangle().alias("rings")))
+    folder, made = f"file://{tmp_path}/out", []
+
+    def make(own):
+        made.append(sorted(r.linkno for r in own.select("linkno").collect()))
+        if len(made) == 2:
+            raise OSError("lost")
+        return own.select("linkno")
+
+    assert [(r.status, r.error) for r in workflow.run_batches(spark, zones, make, folder, 2).collect()] == [("SUCCESS", None), ("FAILED", "lost"), ("SUCCESS", None)]
+    assert [r.status for r in workflow.run_batches(spark, zones, make, folder, 2).collect()] == ["SUCCESS"] * 3
+    assert made == [[0, 1], [2, 3], [4], [2, 3]]
+    assert sorted(map(tuple, workflow.batch_results(spark, folder).collect())) == [(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)]
+    assert workflow.run_batches(spark, zones.limit(0), make, f"{folder}-none", 2).count() == 0
+
+
+def test_runner(spark, tmp_path):
+    from freshet import __main__ as runner
+
+    boxed = lambda df: df.withColumn("geometry", wkb.encoded(F.lit(3), g.rectangle())).drop("minx", "miny", "maxx", "maxy")
+    corners = "minx double, miny double, maxx double, maxy double"
+    keys = "building string, highway string, railway string, " + ", ".join(f"{k} string" for k in sorted({*CRITICAL, *STRUCTURES} - {"building", "highway", "railway"}))
+    width = len(keys.split(", "))
+    boxed(spark.createDataFrame([(7, 0.0, 0.0, 1.0, 1.0)], f"linkno long, {corners}")).write.parquet(f"{tmp_path}/basins.parquet")
+    building = BUILDING[0]
+    boxed(spark.createDataFrame([(1, building, *[None] * (width - 1), 0.2, 0.2, 0.3, 0.3)], f"osm_id long, {keys}, {corners}")).write.parquet(f"{tmp_path}/osm.parquet")
+    boxed(spark.createDataFrame([(0.0, 0.0, 0.5, 1.0)], corners)).write.parquet(f"{tmp_path}/crops.parquet")
+    out = f"{tmp_path}/out"
+    arguments = ["--zones", f"{tmp_path}/basins.parquet", "--features", f"{tmp_path}/osm.parquet", "--crops", f"{tmp_path}/crops.parquet", "--output", out, "--workers", "2"]
+    assert runner.main(arguments, spark) == 0
+    assert sorted(map(tuple, files.read_csv(spark, f"{out}/buildings_statistics", "category string, building_type string, count long").collect())) == sorted([("TOTAL", "All Buildings", 1), ("DETAIL", building, 1)])
+    assert abs(files.read_csv(spark, f"{out}/farmland_statistics").first().area_km2 / (111.32 * 110.57 / 2) - 1) < 1e-3
+    assert files.read_csv(spark, f"{out}/workflow_summary").count() == 5
+    assert runner.main([*arguments, "--population", f"{tmp_path}/osm.parquet"], spark) == 1

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshet.functions import wkb
-from freshet.sources import geotiff, osmpbf, vector
+from freshet.sources import files, geotiff, osmpbf, vector
 
 SQUARE = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0), (0.0, 0.0)]
 HOLE = [(0.5, 0.5), (0.5, 1.0), (1.0, 1.0), (1.0, 0.5), (0.5, 0.5)]
@@ -150,6 +150,7 @@ def test_osm_pbf(spark, tmp_path):
     kind, rings = wkb.decode(bytes(rows["area", 20].geometry))
     assert kind == 6 and len(rings) == 2 and wkb._signed_area(rings[0]) == pytest.approx(16) and wkb._signed_area(rings[1]) == pytest.approx(-0.5)
     assert osmpbf.read_pbf(spark, path, box=(3.5, 3.5, 9, 9)).where("osm_type = 'node'").count() == 1
+    assert {(r.osm_type, r.features) for r in osmpbf.counts_by_kind(osmpbf.read_pbf(spark, path)).collect()} == {(t, sum(k[0] == t for k in rows)) for t in {k[0] for k in rows}}
     done = osmpbf.convert(spark, [path, str(tmp_path / "none.pbf")], f"file://{tmp_path}/out").collect()
     assert sorted((r.status[:6], r.features_extracted) for r in done) == [("FAILED", 0), ("SUCCES", 13)]
 
@@ -165,3 +166,30 @@ def test_discovery_and_verification(spark, tmp_path):
         diagnostics.discover(spark, str(tmp_path), "*.tif")
     rows = diagnostics.verify(osmpbf.read_pbf(spark, path)).collect()
     assert {(r.geometry_type, r.features, r.empty) for r in rows} == {(1, 7, 0), (2, 4, 0), (3, 1, 0), (6, 1, 0)}
+
+
+def test_files(spark, tmp_path):
+    at = f"file://{tmp_path}"
+    spark.range(3).write.option("header", True).csv(f"{at}/a")
+    assert files.publish(spark, {"Roads": f"{at}/a"}, f"{at}/all") == [f"{at}/all/roads_a"]
+    files.rename(spark, f"{at}/all/roads_a", f"{at}/b")
+    files.copy(spark, f"{at}/a", f"{at}/b")
+    assert files.read_csv(spark, f"{at}/b").agg({"id": "sum"}).first()[0] == 3
+    assert files.remove(spark, f"{at}/b") and not files.remove(spark, f"{at}/b")
+    for action in (lambda: files.read_csv(spark, f"{at}/b"), lambda: files.copy(spark, f"{at}/b", f"{at}/c"), lambda: geotiff.read_headers(spark, f"{at}/a")):
+        with pytest.raises(FileNotFoundError):
+            action()
+    (tmp_path / "file").write_text("x")
+    with pytest.raises(NotADirectoryError):
+        files.require(spark, f"{at}/file", folder=True)
+
+
+def test_gpkg_goes_on_without_a_broken_layer(spark, tmp_path):
+    path = str(tmp_path / "two.gpkg")
+    one = spark.createDataFrame([(1, wkb.encode(1, [[(1.0, 2.0)]]))], "id long, geometry binary")
+    vector.write_gpkg({"good": one, "gone": one}, path)
+    with sqlite3.connect(path) as db:
+        db.execute("DROP TABLE gone")
+    with pytest.warns(UserWarning, match="gone"):
+        got = vector.read_gpkg(spark, path)
+    assert [r.layer_name for r in got.collect()] == ["good"]
