@@ -4,14 +4,14 @@ The probability of a word after another mixes three maximum-likelihood estimates
 knowledge; the mixture depends on how often the context was seen, in buckets of powers of two, and is learned by
 expectation-maximisation on the counts of held-out training documents.
 
-Counting never gathers occurrences. A *block* is what one partition of the input holds; texts are first written to the
-shared folder with the number of their block, so that blocks are data and later passes may split their input as they
-like. A block's distinct words and word pairs are counted where they are read, packed in sorted arrays, one for each hash
-range, and sent to that range, which adds the counts of all blocks and sends each block the totals of what it asked
-about. Scoring meets a block's texts with its own totals. There is one hash range for each ``RANGE_BYTES`` of text, so
-that a range, like a block, stays of one size as the corpus grows, and nothing that grows with it is broadcast or held by
-one task. What is shuffled: the texts once, eight bytes for each distinct pair of each block, and its count on the way
-back.
+Counting never gathers occurrences. A *block* is a stretch of ``BLOCK_BYTES`` of one partition of the input, however
+large that partition, or a row group of its files, is; texts are first written to the shared folder with the number of
+their block, so that blocks are data and later passes may split their input as they like. A block's distinct words and
+word pairs are counted where they are read, packed in sorted arrays, one for each hash range, and sent to that range,
+which adds the counts of all blocks and sends each block the totals of what it asked about. Scoring meets a block's texts
+with its own totals. There is one hash range for each ``RANGE_BYTES`` of text, so that a range, like a block, stays of one
+size as the corpus grows, and nothing that grows with it is broadcast or held by one task. What is shuffled: the texts
+once, eight bytes for each distinct pair of each block, and its count on the way back.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ BUCKETS = 40
 STEP = 8
 #: Text for each hash range. Words and pairs of a range are a table each, of about twice that size.
 RANGE_BYTES = 8 << 20
+#: Text of a block, but for its last row. A task holds the tokens and counts of one at a time.
+BLOCK_BYTES = 16 << 20
+#: Bytes of requests that go to the JVM at once.
+SEND_BYTES = 1 << 20
 WORD, PAIR = 0, 1
 
 
@@ -143,7 +147,27 @@ def _ranges(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
 
 
+_TEXTS = "block long, text string, role int, doc_id long"
+
+
+def _blocks(limit: int):
+    """Numbers rows by block: the partition, and how often ``limit`` bytes of its text came before the row."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        first, before = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = before + np.cumsum(size)
+            yield pa.RecordBatch.from_arrays([pa.array(first + (ends - size) // limit, pa.int64()), *batch.columns], ["block", "text", "role", "doc_id"])
+            before = int(ends[-1]) if len(ends) else before
+
+    return run
+
+
 _REQUEST = "part int, kind int, block long, keys binary, total binary, held binary"
+_REQUEST_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("total", pa.binary()), ("held", pa.binary())])
 
 
 def _requests(parts: int):
@@ -156,21 +180,37 @@ def _requests(parts: int):
                 if b > a:
                     yield p, kind, block, keys[a:b].tobytes(), _small(counts[a:b, 0]), _small(counts[a:b, 1])
 
+    def bundled(rows):
+        some, held = [], 0
+        for row in rows:
+            some.append(row)
+            held += sum(map(len, row[3:]))
+            if held >= SEND_BYTES:
+                yield some
+                some, held = [], 0
+        if some:
+            yield some
+
     def run(batches):
-        open_: dict[int, Counter] = defaultdict(Counter)
+        for some in bundled(requests(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(x, field.type) for x, field in zip(zip(*some), _REQUEST_ARROW)], schema=_REQUEST_ARROW)
+
+    def requests(batches):
+        # rows of a block follow one another; one that comes again asks again
+        block, counter = None, None
         for batch in batches:
             blocks = batch.column(0).to_numpy(zero_copy_only=False)
             role = batch.column(2).to_numpy(zero_copy_only=False)
             for lo, hi, data, offsets in tk.slices(batch.column(1)):
                 cuts = [0, *(np.flatnonzero(np.diff(blocks[lo:hi])) + 1).tolist(), hi - lo]
                 for a, b in zip(cuts[:-1], cuts[1:]):
-                    open_[int(blocks[lo + a])].add(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], role[lo + a : lo + b])
-        for block in list(open_):
-            for row in send(block, open_.pop(block)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[0]], pa.int32()), pa.array([row[1]], pa.int32()), pa.array([row[2]], pa.int64()), *(pa.array([x], pa.binary()) for x in row[3:])],
-                    ["part", "kind", "block", "keys", "total", "held"],
-                )
+                    if counter is None or block != int(blocks[lo + a]):
+                        if counter is not None:
+                            yield from send(block, counter)
+                        block, counter = int(blocks[lo + a]), Counter()
+                    counter.add(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], role[lo + a : lo + b])
+        if counter is not None:
+            yield from send(block, counter)
 
     return run
 
@@ -273,7 +313,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold:
     r = remainder(F.col(id_col), 7)
     role = F.when(r == fold, 0).when(r == (6 if fold != 6 else 5), 2).otherwise(1).cast("int")
     text = F.col(text_col).cast("string").alias("text")
-    written = save(docs.select(F.spark_partition_id().cast("long").alias("block"), text, role.alias("role"), F.col(id_col).cast("long").alias("doc_id")), "texts")
+    numbered = docs.select(text, role.alias("role"), F.col(id_col).cast("long").alias("doc_id")).mapInArrow(_blocks(BLOCK_BYTES), _TEXTS)
+    written = save(numbered, "texts")
     given = written
     size, blocks = given.agg(F.sum(F.octet_length("text")), F.count_distinct("block")).first()
     parts = max(shuffle_partitions(spark), -(-(size or 0) // RANGE_BYTES))
