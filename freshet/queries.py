@@ -440,10 +440,10 @@ def shapefile_round_trip(spark, d):
 
 @query("SELECT row, col, CAST(sum(value) AS DOUBLE) AS value FROM cover_pixels GROUP BY row, col", "cover_pixels")
 def geotiff_round_trip(spark, d):
-    path = new_folder(spark, "tiles")
+    path, gt = new_folder(spark, "tiles"), [0.0, 1.5, 0.0, 0.0, 0.0, -1.5]
     pixels = relation(spark, d, "cover_pixels").groupBy("row", "col").agg(F.sum("value").alias("value"))
-    geotiff.write_tiles(pixels, path, [0.0, 1.5, 0.0, 0.0, 0.0, -1.5], 64, "int32")
-    return geotiff.read_pixels(spark, path).where("value <> 0").unionByName(_zeros(pixels), allowMissingColumns=True).select("row", "col", "value")
+    geotiff.write_tiles(pixels, path, gt, 64, "int32")
+    return geotiff.on_grid(geotiff.read_pixels(spark, path), gt).where("value <> 0").unionByName(_zeros(pixels), allowMissingColumns=True).select("row", "col", "value")
 
 
 def _zeros(pixels: DataFrame) -> DataFrame:
